@@ -1,0 +1,25 @@
+"""Joins with a checked broadcast side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def join_checked(
+    big: DataFrame,
+    small: DataFrame,
+    on,
+    how: str = "inner",
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Broadcast ``small`` only if a distributed count proves it small.
+
+    Meant for narrow anchor sets (nodes of one name). Beyond the bound the join
+    is left to Catalyst: shuffle join, with adaptive splitting of hot keys.
+    """
+    if small.count() <= max_rows:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

@@ -52,8 +52,7 @@ def letter_total(text: Column) -> Column:
 
 def mean_word_length(text: Column) -> Column:
     """Average word length, 0 where there is no word."""
-    n = word_count(text)
-    return F.when(n > 0, letter_total(text) / n).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(letter_total(text), word_count(text)), F.lit(0.0))
 
 
 def occurrences(text: Column, part: str) -> Column:

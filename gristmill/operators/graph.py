@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions import text
 from gristmill.operators.joins import join_checked
 
 
@@ -248,10 +249,10 @@ def merge_edges(edges: DataFrame, pairs: DataFrame, kind: str = "VIEWED") -> Dat
 def line_degrees(lines: DataFrame, value: str = "value", trim: bool = True) -> DataFrame:
     """Id and number of neighbours of each adjacency line ``id n1 n2 ...``.
     Untrimmed, a space at the end counts as a neighbour."""
-    text = F.trim(F.col(value)) if trim else F.col(value)
+    line = F.trim(F.col(value)) if trim else F.col(value)
     return lines.select(
-        F.get(F.split(text, " "), F.lit(0)).alias("id"),
-        (F.size(F.split(text, " ")) - 1).alias("connections"),
+        F.substring_index(line, " ", 1).alias("id"),
+        text.occurrences(line, " ").alias("connections"),
     )
 
 

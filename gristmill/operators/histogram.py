@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     """``bin, low, high, n`` over min..max; half-open bins, the last one closed.
 
-    The range is one row, read as scalar subqueries. A single distinct value
+    The range is one row, read as a scalar subquery. A single distinct value
     widens the range by half a unit on both sides. Bins without rows are kept.
     """
     values = df.select(F.col(value).cast("double").alias("x")).where(
@@ -19,7 +19,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    limits = ends.select(F.struct("lo", "hi")).scalar()
 
     def edge(i):
         return F.when(i == bins, F.col("hi")).otherwise(
@@ -32,8 +32,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
         F.lit(bins - 1),
     )
     placed = (
-        values.withColumn("lo", lo)
-        .withColumn("hi", hi)
+        values.withColumn("ends", limits)
+        .select("x", "ends.lo", "ends.hi")
         .withColumn("g", guess)
         .select(
             (
@@ -50,8 +50,8 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     frame = (
         df.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")
-        .withColumn("lo", lo)
-        .withColumn("hi", hi)
+        .withColumn("ends", limits)
+        .select("bin", "ends.lo", "ends.hi")
         .where(F.col("lo").isNotNull())
         .select("bin", edge(F.col("bin")).alias("low"), edge(F.col("bin") + 1).alias("high"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -45,13 +46,14 @@ def delay_rows(flights: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def index_strings(rows: DataFrame, columns: Sequence[str] = CATEGORIES) -> PipelineModel:
-    """Fit frequency indexes; the label lists are as long as the categories."""
-    return Pipeline(
-        stages=[
-            StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="skip")
-            for c in columns
-        ]
-    ).fit(rows)
+    """Fit frequency indexes of all columns in one pass; the label lists are as
+    long as the categories."""
+    indexer = StringIndexer(
+        inputCols=list(columns),
+        outputCols=[f"{c}_index" for c in columns],
+        handleInvalid="skip",
+    )
+    return Pipeline(stages=[indexer]).fit(rows)
 
 
 def assemble(rows: DataFrame, columns: Sequence[str], invalid: str = "skip") -> DataFrame:
@@ -66,15 +68,25 @@ def _features() -> list[str]:
 
 def _prepared(train: DataFrame, test: DataFrame):
     indexes = index_strings(train)
-    most = max(len(stage.labels) for stage in indexes.stages)
+    most = max(len(labels) for labels in indexes.stages[0].labelsArray)
     ready = [assemble(indexes.transform(df), _features()) for df in (train, test)]
     return *ready, most
 
 
+def _fit(estimator, rows: DataFrame):
+    """Training reads its rows several times; keep them, on disk if need be."""
+    rows = rows.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return estimator.fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def delay_logistic(train: DataFrame, test: DataFrame) -> DataFrame:
     """Predictions for the test rows; everything is fitted on the train rows."""
     fit_on, apply_to, _ = _prepared(train, test)
-    return LogisticRegression(featuresCol="features", labelCol="label").fit(fit_on).transform(apply_to)
+    model = _fit(LogisticRegression(featuresCol="features", labelCol="label"), fit_on)
+    return model.transform(apply_to)
 
 
 def delay_forest(train: DataFrame, test: DataFrame, seed: int = 42) -> DataFrame:
@@ -83,7 +95,7 @@ def delay_forest(train: DataFrame, test: DataFrame, seed: int = 42) -> DataFrame
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", maxBins=max(32, most), seed=seed
     )
-    return forest.fit(fit_on).transform(apply_to)
+    return _fit(forest, fit_on).transform(apply_to)
 
 
 def accuracy(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

@@ -14,6 +14,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts. Where the scan has fewer tasks than the session has
+    cores, as with a single small file, its rows are spread first; a table of
+    many files is left as it is."""
+    df = table(spark, folder, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # --- articles -------------------------------------------------------------
 
 ARTICLES_SQL = """
@@ -36,7 +45,7 @@ FROM ({ARTICLES_SQL}) a JOIN orders o ON a.doc_id = o.o_orderkey
 def articles(spark: SparkSession, folder: str, timed: bool = False) -> DataFrame:
     """Documents as articles; ``timed`` adds the time text from the order of the
     same number. The digest of the text stands for the address."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents")
     if timed:
         orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
         docs = docs.join(orders, docs["doc_id"] == orders["o_orderkey"])
@@ -57,7 +66,7 @@ def articles(spark: SparkSession, folder: str, timed: bool = False) -> DataFrame
 
 
 def text_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(F.col("text").alias("value"))
+    return texts(spark, folder, "documents").select(F.col("text").alias("value"))
 
 
 # --- article messages -----------------------------------------------------
@@ -216,7 +225,7 @@ HERO_SQL = "SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM custome
 def adjacency(spark: SparkSession, folder: str) -> DataFrame:
     """One line per document: an id that repeats, then its words as neighbours;
     every third line ends in a space."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         F.concat(
             (F.col("n_chars") % 251).cast("string"),
             F.lit(" "),

@@ -237,7 +237,7 @@ WHERE title <> '' AND len(p) > 3 AND ends_with(p[3], '{b.SITE}')""")
 def url_category(spark, folder):
     """Pages of one site with the category of their address; 'en' is the nested
     section here."""
-    pages = b.table(spark, folder, "pages").select(
+    pages = b.texts(spark, folder, "pages").select(
         "page_id", "url", F.regexp_extract("html", r"(?s)<h1\b[^>]*>(.*?)</h1>", 1).alias("title")
     )
     host = corpus.url_part(2).endswith(b.SITE)
@@ -276,5 +276,5 @@ FROM (
                '(?s)<a\\b[^>]*>(.*?)</a>', 1) AS a
     FROM pages)""")
 def page_fields(spark, folder):
-    fields = corpus.page_fields(b.table(spark, folder, "pages"))
+    fields = corpus.page_fields(b.texts(spark, folder, "pages"))
     return fields.drop("photo_count", "comment_count")

@@ -106,7 +106,7 @@ def sliding_keyword_count(spark, folder):
 
 @query(b.PARSED_SQL)
 def parse_events(spark, folder):
-    return parse_articles(b.messages(b.table(spark, folder, "documents")), "doc_id")
+    return parse_articles(b.messages(b.texts(spark, folder, "documents")), "doc_id")
 
 
 def _parsed_stream(spark, folder):
@@ -175,14 +175,29 @@ def stream_out_of_order(spark, folder):
     return runs.read_batches(spark, out, late.schema).drop("batch_id")
 
 
-@query(GLOBAL_LATE)
-def stream_out_of_order_global(spark, folder):
+def _late_by_batches(spark, folder, keys=()):
     stream = _orders(spark, folder)
     base = scratch(spark, "late")
     runs.finish(
         detector.by_batches(
-            stream, "o_orderkey", "o_orderdate", f"{base}/out", f"{base}/carry", f"{base}/checkpoint"
+            stream,
+            "o_orderkey",
+            "o_orderdate",
+            f"{base}/out",
+            f"{base}/carry",
+            f"{base}/checkpoint",
+            keys=keys,
         )
     )
     schema = StructType([*stream.schema.fields]).add("prev_ts", "timestamp_ntz")
     return runs.read_batches(spark, f"{base}/out", schema).drop("batch_id")
+
+
+@query(GLOBAL_LATE)
+def stream_out_of_order_global(spark, folder):
+    return _late_by_batches(spark, folder)
+
+
+@query(KEYED_LATE)
+def stream_out_of_order_hot_keys(spark, folder):
+    return _late_by_batches(spark, folder, ["o_custkey"])

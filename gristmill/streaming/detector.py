@@ -12,66 +12,57 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gristmill.operators.order import with_previous
 from gristmill.streaming.runs import batch_path, start
 
 
 class LastTime(StatefulProcessor):
-    """Last sequence number and time of one key."""
+    """Last sequence number and time (microseconds) of one key."""
 
-    def __init__(self, seq: str, ts: str, columns: Sequence[str]):
-        self.seq, self.ts, self.columns = seq, ts, list(columns)
+    def __init__(self, seq: str, ts: str):
+        self.seq, self.ts = seq, ts
 
     def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "seq long, ts timestamp")
+        self.last = handle.getValueState("last", "seq long, ts long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(self.seq)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.last.get()
-        before = batch[self.ts].shift(1)
-        if known is not None:
-            before.iloc[0] = pd.Timestamp(known[1]) if known[1] is not None else pd.NaT
-        newest = batch.iloc[-1]
-        if known is None or newest[self.seq] >= known[0]:
-            at = newest[self.ts]
-            self.last.update(
-                (int(newest[self.seq]), None if pd.isna(at) else at.to_pydatetime())
-            )
-        late = batch[self.ts] < before
-        yield batch.assign(prev_ts=before)[late.to_numpy()][[*self.columns, "prev_ts"]]
+        newest, before = known if known is not None else (None, None)
+        at = before
+        for row in sorted(rows, key=lambda r: r[self.seq]):
+            if before is not None and row[self.ts] is not None and row[self.ts] < before:
+                yield Row(**row.asDict(), prev_ts=before)
+            before = row[self.ts]
+            if newest is None or row[self.seq] >= newest:
+                newest, at = row[self.seq], before
+        self.last.update((newest, at))
 
     def close(self) -> None:
         pass
 
 
-def _zoned(stream: DataFrame, ts: str) -> DataFrame:
-    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
-
-
-def _local(found: DataFrame, ts: str) -> DataFrame:
-    return found.withColumn(ts, F.col(ts).cast("timestamp_ntz")).withColumn(
-        "prev_ts", F.col("prev_ts").cast("timestamp_ntz")
-    )
+def _as_time(micros: str):
+    return F.timestamp_micros(micros).cast("timestamp_ntz").alias(micros)
 
 
 def keyed(stream: DataFrame, key: str, seq: str, ts: str) -> DataFrame:
     """Late rows with ``prev_ts``, per key. The rows of a key in one batch are
     sorted in memory: bound the batch by the source's rate limit."""
-    rows = _zoned(stream, ts)
-    shape = StructType([*rows.schema.fields, StructField("prev_ts", rows.schema[ts].dataType)])
-    found = rows.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=LastTime(seq, ts, rows.columns),
-        outputStructType=shape,
+    rows = stream.withColumn(ts, F.unix_micros(F.col(ts).cast("timestamp")))
+    found = rows.groupBy(key).transformWithState(
+        statefulProcessor=LastTime(seq, ts),
+        outputStructType=StructType([*rows.schema.fields, StructField("prev_ts", LongType())]),
         outputMode="append",
         timeMode="None",
     )
-    return _local(found, ts)
+    return found.select(
+        *[_as_time(ts) if c == ts else c for c in rows.columns], _as_time("prev_ts")
+    )
 
 
 def by_batches(

@@ -24,5 +24,7 @@ WEEKDAYS = (
 
 
 def parse_iso(text: Column) -> Column:
-    """Written local time, or null for anything that is no ISO time."""
-    return F.when(text.rlike(ISO), text.try_cast("timestamp_ntz"))
+    """Written local time (the offset is dropped), or null for anything that is no
+    ISO time."""
+    local = F.regexp_replace(text, r"(Z|[+-]\d{2}:\d{2})$", "")
+    return F.when(text.rlike(ISO), local.try_cast("timestamp_ntz"))

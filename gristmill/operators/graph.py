@@ -75,12 +75,12 @@ def common_neighbours(
     """
     starts = (
         labelled(nodes, source)
+        .where(first | second)
         .select(
             F.col("id").alias("src"),
             F.coalesce(first, F.lit(False)).cast("long").alias("a"),
             F.coalesce(second, F.lit(False)).cast("long").alias("b"),
         )
-        .where("a + b > 0")
     )
     per_target = (
         join_checked(typed(edges, kind), starts, "src")

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.operators.joins import join_checked
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -162,6 +164,19 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+VOTES_SQL = """
+SELECT l_partkey AS movie_id, CAST(l_quantity AS INTEGER) % 5 + 1 AS rating FROM lineitem
+"""
+
+
+def votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Ratings without their users: no join with the orders."""
+    return table(spark, folder, "lineitem").select(
+        F.col("l_partkey").alias("movie_id"),
+        (F.col("l_quantity").cast("int") % 5 + 1).alias("rating"),
+    )
+
+
 def rating_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Tab-separated rating records."""
     return table(spark, folder, "lineitem").select(
@@ -311,7 +326,7 @@ def contacts_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
         F.col("c_custkey").alias("a"), F.col("c_nationkey")
     )
     return (
-        people.join(anchor, "c_nationkey")
+        join_checked(people, anchor, "c_nationkey")
         .where(F.col("a") != F.col("c_custkey"))
         .select(
             (F.col("a") * 2).alias("src"),

@@ -62,12 +62,12 @@ SELECT title, five_star_count, total_count,
 FROM (
     SELECT m.p_name AS title, count(CASE WHEN r.rating = 5 THEN 1 END) AS five_star_count,
            count(*) AS total_count
-    FROM ({b.RATINGS_SQL}) r JOIN part m ON r.movie_id = m.p_partkey
+    FROM ({b.VOTES_SQL}) r JOIN part m ON r.movie_id = m.p_partkey
     GROUP BY m.p_name HAVING count(*) >= 5)
 ORDER BY ratio DESC, title LIMIT 10""")
 def most_hyped(spark, folder):
     """Named views over the sources, then the report."""
-    b.ratings(spark, folder).createOrReplaceTempView("ratings")
+    b.votes(spark, folder).createOrReplaceTempView("ratings")
     b.movies(spark, folder).createOrReplaceTempView("movies")
     return tables.most_hyped(
         spark.sql("SELECT movie_id, rating FROM ratings"),

@@ -15,9 +15,11 @@ def with_event_time(df: DataFrame, ts: str, late: str | None = "0 seconds") -> D
     return timed.withWatermark("at", late) if late is not None else timed
 
 
-def with_processing_time(df: DataFrame) -> DataFrame:
-    """Time column ``at``: the start of the micro-batch."""
-    return df.withColumn("at", F.current_timestamp())
+def with_processing_time(df: DataFrame, late: str | None = None) -> DataFrame:
+    """Time column ``at``: the start of the micro-batch. With a watermark windows
+    finish, and their state goes, as time passes."""
+    timed = df.withColumn("at", F.current_timestamp())
+    return timed.withWatermark("at", late) if late is not None else timed
 
 
 def _bounds(df: DataFrame, *rest: str) -> DataFrame:

@@ -35,6 +35,6 @@ def test_first_of_each_key_is_picked_before_the_shuffle(spark):
 
 
 def test_ratings_shrink_before_they_meet_titles(spark):
-    text = plan(tables.most_hyped(b.ratings(spark, FOLDER), b.movies(spark, FOLDER)))
+    text = plan(tables.most_hyped(b.votes(spark, FOLDER), b.movies(spark, FOLDER)))
     join = text.index("movie_id", text.index("Join"))
     assert text.index("partial_count", join) > join

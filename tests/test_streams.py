@@ -7,6 +7,7 @@ from gristmill.operators import order, words
 from gristmill.operators.messages import parse_articles
 from gristmill.sources.readers import text_stream
 from gristmill.streaming import detector, fanout, runs, windows
+from gristmill.streaming.articles import start_articles
 
 LIMIT = 120
 
@@ -224,3 +225,34 @@ def test_detectors_equal_the_batch_form_when_order_holds(spark, tmp_path):
     runs.finish(runs.write_batches(late, str(tmp_path / "o"), str(tmp_path / "c")), LIMIT)
     got = runs.read_batches(spark, str(tmp_path / "o"), late.schema).drop("batch_id")
     assert values(got) == values(order.out_of_order(batch, "ts", "seq", ["k"]))
+
+
+@pytest.mark.parametrize("event_time", [True, False])
+def test_article_job(spark, tmp_path, event_time):
+    days = ["2022-01-05", "2022-01-03", "2022-01-07", "2022-01-06"]
+    rows = [
+        f'{i},2022-02-01 00:0{i}:00,{{"title":"t{i}","comment_count":{99 + i},"time":"{d}","content":"{w}"}}'
+        for i, (d, w) in enumerate(zip(days, ["war", "no", "war x", "no"]))
+    ]
+    put(tmp_path / "in", "a", *rows)
+
+    def messages():
+        part = F.split("value", ",", 3)
+        return text_stream(spark, path=str(tmp_path / "in")).select(
+            part[0].cast("long").alias("seq"), part[1].cast("timestamp_ntz").alias("ts"), part[2].alias("value")
+        )
+
+    out = str(tmp_path / "out")
+    started = start_articles(
+        messages, out, str(tmp_path / "c"), "war", "seq", size="2 minutes", slide="1 minute", ts="ts" if event_time else None
+    )
+    for query in started.values():
+        runs.finish(query, LIMIT)
+    read = spark.read.option("header", True)
+    assert sorted(r["title"] for r in read.csv(f"{out}/titles").collect()) == ["t0", "t1", "t2", "t3"]
+    assert sorted(r["title"] for r in read.csv(f"{out}/high_priority").collect()) == ["t2", "t3"]
+    assert sorted(r["title"] for r in spark.read.parquet(f"{out}/out_of_order").collect()) == ["t1", "t3"]
+    if event_time:
+        counts = spark.read.schema("s string, e string, total long, war long, batch_id long").csv(f"{out}/counts")
+        # Windows ending by 00:03, the last time seen.
+        assert sorted((r["total"], r["war"]) for r in counts.collect()) == [(1, 1), (2, 1), (2, 1)]

@@ -147,8 +147,11 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """
 
 
-def ordered_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = table(spark, folder, "lineitem")
+def ordered_lines(
+    spark: SparkSession, folder: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """Lines with the columns of their order."""
+    lines = table(spark, folder, "lineitem") if lines is None else lines
     orders = table(spark, folder, "orders")
     return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
 
@@ -364,8 +367,18 @@ JOIN nation nc ON c_nationkey = nc.n_nationkey
 """
 
 
-def flights(spark: SparkSession, folder: str) -> DataFrame:
-    lines = ordered_lines(spark, folder)
+def year_lines(spark: SparkSession, folder: str, year: int) -> DataFrame:
+    """Lines shipped in one year; the date range reaches the scan."""
+    ship = F.col("l_shipdate")
+    first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
+    return table(spark, folder, "lineitem").where((ship >= first) & (ship < after))
+
+
+def flights(
+    spark: SparkSession, folder: str, lines: DataFrame | None = None
+) -> DataFrame:
+    """All lines as flights, or the given ones."""
+    lines = ordered_lines(spark, folder, lines)
     nation = table(spark, folder, "nation")
     origin = (
         table(spark, folder, "supplier")

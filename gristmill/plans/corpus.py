@@ -209,8 +209,7 @@ def merge_parts(spark, folder):
     """Articles written as four part folders and read back in one scan."""
     rows = b.articles(spark, folder).withColumn("part", F.pmod(F.col("doc_id"), F.lit(4)))
     base = scratch(spark, "parts")
-    for i in range(4):
-        write_articles(rows.where(F.col("part") == i).drop("part", "doc_id"), f"{base}/part_{i}")
+    write_articles(rows.drop("doc_id"), base, by="part")
     merged = corpus.with_defaults(read_parts(spark, base, 4))
     return merged.select(
         "url",

@@ -50,8 +50,8 @@ def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def merge_parts(spark: SparkSession, folder: str, parts: int, **options) -> DataFrame:
-    """Articles of the part files ``part_0`` .. that exist, in one scan."""
-    paths = existing(spark, [f"{folder}/part_{i}" for i in range(parts)])
+    """Articles of the parts ``part=0`` .. that exist, in one scan."""
+    paths = existing(spark, [f"{folder}/part={i}" for i in range(parts)])
     if not paths:
         return spark.createDataFrame([], ARTICLE)
     return read_articles(spark, *paths, **options)

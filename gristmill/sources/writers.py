@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 CHUNK = 30_000
 
 
-def write_articles(articles: DataFrame, path: str) -> None:
-    articles.write.mode("overwrite").json(path)
+def write_articles(articles: DataFrame, path: str, by: str | None = None) -> None:
+    """JSON Lines; ``by`` names a column whose values get folders ``by=value``."""
+    writer = articles.write.mode("overwrite")
+    if by:
+        writer = writer.partitionBy(by)
+    writer.json(path)
 
 
 def write_lines(

@@ -29,7 +29,7 @@ def test_array_file_and_broken_file(spark, tmp_path):
 def test_merge_parts_skips_missing_files(spark, tmp_path):
     for i in (0, 2):
         df = spark.createDataFrame([(f"u{i}", "t")], "url string, title string")
-        writers.write_articles(df, str(tmp_path / f"part_{i}"))
+        writers.write_articles(df, str(tmp_path / f"part={i}"))
     got = readers.merge_parts(spark, str(tmp_path), 4)
     assert sorted(r["url"] for r in got.collect()) == ["u0", "u2"]
     assert readers.merge_parts(spark, str(tmp_path / "none"), 2).count() == 0

@@ -15,11 +15,13 @@ from gristmill.session import scratch
 from gristmill.sources.readers import table_stream
 from gristmill.streaming import detector, fanout, runs, windows
 
-PER_BATCH = 200  # input files per micro-batch
+# Input files per micro-batch where a batch is kept or sorted in memory. Windows
+# and counts take all that is there: no row can then be late.
+PER_BATCH = 200
 
 
-def _stream(spark, folder, name):
-    return table_stream(spark, f"{folder}/{name}.parquet", PER_BATCH)
+def _stream(spark, folder, name, per_batch=None):
+    return table_stream(spark, f"{folder}/{name}.parquet", per_batch)
 
 
 def _lines(spark, folder):
@@ -110,7 +112,7 @@ def parse_events(spark, folder):
 
 
 def _parsed_stream(spark, folder):
-    return parse_articles(b.messages(_stream(spark, folder, "documents")), "doc_id")
+    return parse_articles(b.messages(_stream(spark, folder, "documents", PER_BATCH)), "doc_id")
 
 
 @query(f"SELECT doc_id, title, comment_count FROM ({b.PARSED_SQL}) WHERE comment_count > 100")
@@ -164,13 +166,14 @@ def stream_fan_out(spark, folder):
     return whole
 
 
-def _orders(spark, folder):
-    return _stream(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+def _orders(spark, folder, per_batch=None):
+    return _stream(spark, folder, "orders", per_batch).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 @query(KEYED_LATE)
 def stream_out_of_order(spark, folder):
-    late = detector.keyed(_orders(spark, folder), "o_custkey", "o_orderkey", "o_orderdate")
+    orders = _orders(spark, folder, PER_BATCH)
+    late = detector.keyed(orders, "o_custkey", "o_orderkey", "o_orderdate")
     out = _write(spark, late, "late", "append")
     return runs.read_batches(spark, out, late.schema).drop("batch_id")
 

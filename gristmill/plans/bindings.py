@@ -16,13 +16,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
+    """Spread the rows of ``df`` where its ``scan`` has fewer tasks than the session
+    has cores, as with a single small file; many files are left as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
+
+
 def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of long texts. Where the scan has fewer tasks than the session has
-    cores, as with a single small file, its rows are spread first; a table of
-    many files is left as it is."""
+    """A table of long texts, ready for work on every core."""
     df = table(spark, folder, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spread(df, df)
 
 
 # --- articles -------------------------------------------------------------

@@ -24,8 +24,13 @@ def _stream(spark, folder, name, per_batch=None):
     return table_stream(spark, f"{folder}/{name}.parquet", per_batch)
 
 
+def _documents(spark, folder, per_batch=None):
+    stream = _stream(spark, folder, "documents", per_batch)
+    return b.spread(stream, b.table(spark, folder, "documents"))
+
+
 def _lines(spark, folder):
-    return _stream(spark, folder, "documents").select(F.col("text").alias("value"))
+    return _documents(spark, folder).select(F.col("text").alias("value"))
 
 
 def _write(spark, stream, label, mode, **options):
@@ -112,7 +117,7 @@ def parse_events(spark, folder):
 
 
 def _parsed_stream(spark, folder):
-    return parse_articles(b.messages(_stream(spark, folder, "documents", PER_BATCH)), "doc_id")
+    return parse_articles(b.messages(_documents(spark, folder, PER_BATCH)), "doc_id")
 
 
 @query(f"SELECT doc_id, title, comment_count FROM ({b.PARSED_SQL}) WHERE comment_count > 100")

@@ -70,6 +70,11 @@ def test_console_and_processing_time(spark, book):
     assert "Console" in query.lastProgress["sink"]["description"]
 
 
+def test_other_formats_pass_through(spark):
+    stream = text_stream(spark, format="rate", rowsPerSecond=1)
+    assert stream.isStreaming and stream.dtypes == [("value", "string")]
+
+
 def test_overdue_stream_is_stopped(spark, book):
     stream = text_stream(spark, path=str(book / "in"))
     query = runs.write_batches(stream, str(book / "o"), str(book / "c"), trigger={"processingTime": "1 second"})

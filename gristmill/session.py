@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,9 +28,23 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand this package to the workers, once per context; the driver serves the file."""
+    context = spark.sparkContext
+    archive = Path(context._temp_dir) / f"{__package__}.zip"
+    if archive.exists():
+        return
+    here = Path(__file__).parent
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(here.rglob("*.py")):
+            out.write(file, file.relative_to(here.parent))
+    context.addPyFile(str(archive))
+
+
 def build_session(
     app: str = "gristmill", master: str | None = None, **conf: str
 ) -> SparkSession:
@@ -46,9 +62,11 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getCheckpointDir()
     if found:
         return found
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(
-        prefix="gristmill-"
-    )
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        path = tempfile.mkdtemp(prefix="gristmill-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext.getCheckpointDir()
 

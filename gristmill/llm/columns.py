@@ -41,7 +41,7 @@ def with_shingles(df: DataFrame, text: str, width: int, out: str = "shingles") -
     word hashes is named several times below, so Catalyst keeps it as a column.
     """
     others = [c for c in df.columns if c != text]
-    hashed = df.select(*others, F.transform(lower_words(F.col(text)), F.xxhash64).alias("_wh"))
+    hashed = df.select(*others, F.transform(lower_words(F.col(text)), lambda w: F.xxhash64(w)).alias("_wh"))
     words = F.col("_wh")
     last = F.size(words) - width
     joined = F.transform(

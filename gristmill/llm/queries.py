@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
+    decontaminate,
+    jaccard_join,
     language_id,
+    nearest,
     pieces,
     secret_scan,
     sentencepieces,
@@ -63,6 +66,30 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP4_SQL = """
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents
+), has AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+    FROM words WHERE len(w) >= 5
+), iwords AS (
+    SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM benchmark
+), held AS (
+    SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+    FROM iwords WHERE len(w) >= 5
+), sizes AS (SELECT item_id, count(*) AS n FROM held GROUP BY item_id)
+SELECT doc_id, item_id, count(*) / any_value(n)::DOUBLE AS containment
+FROM has JOIN held USING (g) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) / any_value(n)::DOUBLE >= 0.8
+"""
+
+
+@query(OP4_SQL)
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumnRenamed("item", "item_id")
+
+
 @query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.read_model(pieces.default_path())
@@ -79,6 +106,46 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+
+OP7_SQL = """
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS s
+    FROM words WHERE len(w) > 0
+), nodes AS (
+    SELECT s, min(doc_id) AS node, count(DISTINCT doc_id) AS copies FROM sets GROUP BY s
+), grams AS (
+    SELECT node, len(s) AS n, unnest(s) AS g FROM nodes
+), pairs AS (
+    SELECT a.node AS a, b.node AS b FROM grams a JOIN grams b ON a.g = b.g AND a.node <> b.node
+    GROUP BY a.node, b.node HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*))::DOUBLE >= 0.8
+), reach AS (
+    SELECT node AS a, node AS b FROM nodes
+    UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON p.a = r.b
+), roots AS (SELECT a AS node, min(b) AS root FROM reach GROUP BY a
+), classes AS (
+    SELECT root, sum(copies)::BIGINT AS size FROM roots JOIN nodes USING (node) GROUP BY root
+), links AS (SELECT a AS node, count(*) AS n FROM pairs GROUP BY a)
+SELECT d.doc_id, coalesce(r.root, d.doc_id) AS class_id, coalesce(c.size, 1) AS class_size,
+    coalesce(l.n, 0) AS n_links, coalesce(n.copies - 1, 0) AS n_copies
+FROM documents d LEFT JOIN sets s USING (doc_id) LEFT JOIN nodes n ON n.s = s.s LEFT JOIN roots r ON r.node = n.node
+LEFT JOIN classes c ON c.root = r.root LEFT JOIN links l ON l.node = n.node
+"""
+
+
+@query(OP7_SQL)
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, folder, "documents"))
+
+
+@query()
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nearest.nearest(rows, F.col("vec_id") % 50 == 0)
+
+
 SHARD_BYTES = 1 << 20
 
 OP10_SQL = f"""

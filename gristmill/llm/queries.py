@@ -9,6 +9,7 @@ from gristmill.llm import (
     decontaminate,
     jaccard_join,
     language_id,
+    license_scan,
     nearest,
     pieces,
     secret_scan,
@@ -140,6 +141,30 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, folder, "documents"))
 
 
+_ROWS = ", ".join("('" + name + "', '" + body.replace("'", "''") + "')" for name, body in license_scan.TEMPLATES.items())
+OP8_SQL = f"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS w FROM documents
+), has AS (
+    SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+    FROM words WHERE len(w) >= 5
+), twords AS (
+    SELECT license, regexp_extract_all(lower(body), '[\\p{{L}}\\p{{N}}]+') AS w FROM (VALUES {_ROWS}) t(license, body)
+), held AS (
+    SELECT DISTINCT license, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+    FROM twords
+), sizes AS (SELECT license, count(*) AS n FROM held GROUP BY license)
+SELECT doc_id, license, count(*) / any_value(n)::DOUBLE AS containment
+FROM has JOIN held USING (g) JOIN sizes USING (license)
+GROUP BY doc_id, license HAVING count(*) / any_value(n)::DOUBLE >= 0.8
+"""
+
+
+@query(OP8_SQL)
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.find_licenses(table(spark, folder, "documents"))
+
+
 @query()
 def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")

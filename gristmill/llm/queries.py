@@ -16,6 +16,7 @@ from gristmill.llm import (
     sentencepieces,
     sharding,
     token_counts,
+    toxicity,
 )
 from gristmill.llm.columns import prepared, remainder
 from gristmill.plans.registry import Query
@@ -39,6 +40,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    rest = remainder(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, table(spark, folder, "labels").where(rest != 0))
+    found = toxicity.score(docs, model)
+    held = F.coalesce(rest == 0, F.lit(False))
+    return found.select(
+        "doc_id", held.alias("held_out"), "score", toxicity.predicted(F.col("score")).alias("predicted")
+    )
+
+
 @query()
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.read_model(pieces.default_path())

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.columns import map_arrow
 
-PER_LANGUAGE, TRIGRAMS = 400, 50_000
+PER_LANGUAGE, SAMPLE, TRIGRAMS = 400, 100_000, 50_000
 #: Cost of a change of language, in natural log units.
 SWITCH = 12.0
 #: Score of a language that does not use the word's script.
@@ -85,10 +85,13 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         known.select("_key", "_lang")
         .withColumn("_n", F.row_number().over(order))
         .where(F.col("_n") <= PER_LANGUAGE)
+        .orderBy("_n", "_lang", "_key")
+        .limit(SAMPLE)
         .select("_key", "_lang")
         .distinct()
     )
-    sample = known.join(picked, ["_key", "_lang"])
+    # At most SAMPLE keys, so their size is bounded; the texts stay where they are.
+    sample = known.join(F.broadcast(picked), ["_key", "_lang"])
 
     def count(batches: Iterator[dict]) -> Iterator[dict]:
         found: Counter = Counter()

@@ -1,4 +1,8 @@
-"""A corpus pipeline: each stage works on what the one before it kept."""
+"""A corpus pipeline: each stage works on what the one before it kept.
+
+Documents are rows; their columns pass through unchanged except where a stage says so.
+An empty table passes every stage and stays empty.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import language_id, pieces, secret_scan, sentencepieces
+from gristmill.llm import decontaminate, jaccard_join, language_id, pieces, secret_scan, sentencepieces
 from gristmill.llm.columns import prepared, remainder
 from gristmill.plans.registry import Query
 from gristmill.session import scratch
@@ -19,20 +23,31 @@ LEAST_SHARE = 0.5
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of one main language; those without letters or without a main language go."""
+    """Documents with a main language; those without letters or with mixed text go."""
     prepared(spark)
     model = language_id.fit(docs.where(remainder(F.col("doc_id"), 3) != 1))
-    found = language_id.identify(docs, model, spans=False)
-    good = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
-    ids = good.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi")
+    label = language_id.label_column(F.col("text"), model)
+    found = docs.withColumn("__found", label)
+    main = (F.col("__found.lang_pred") != language_id.UNDETERMINED) & (F.col("__found.score") >= LEAST_SHARE)
+    return found.where(main).drop("__found")
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each class of near duplicates."""
+    return jaccard_join.one_of_each(docs)
+
+
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts replaced and ``n_chars`` renewed."""
     prepared(spark)
-    cleaned = secret_scan.redact_column(docs.select("doc_id", "text", "lang", "source", "n_chars"))
-    return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+    columns = docs.columns
+    cleaned = secret_scan.redact_column(docs)
+    return cleaned.withColumn("n_chars", F.length("text").cast("bigint")).select(columns)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +59,8 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", keep_identified),
+    ("jaccard_join", one_of_each_class),
+    ("decontamination", without_benchmarks),
     ("secret_scans", redact_secrets),
     ("sentencepiece", encode_pieces),
 ]

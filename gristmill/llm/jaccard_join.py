@@ -264,3 +264,18 @@ def jaccard_join(
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.greatest(F.coalesce(F.col("copies") - 1, F.lit(0)), F.lit(0)).cast("bigint").alias("n_copies"),
     )
+
+
+def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The documents, all columns, that name a class: one of each class stays.
+
+    Repeated rows of such a document become one. The rows are dealt out by id once, for the
+    join and for the repeats alike.
+    """
+    columns = docs.columns
+    as_text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
+    classes = jaccard_join(docs, text, key)
+    kept = classes.where(F.col(key).eqNullSafe(F.col("class_id"))).select(as_text(F.col(key)).alias("__id"))
+    marked = docs.withColumn("__id", as_text(F.col(key))).withColumn("__mark", F.xxhash64(text))
+    left = marked.join(kept.distinct(), "__id", "left_semi")
+    return left.dropDuplicates(["__id", "__mark"]).select(columns)

@@ -21,7 +21,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.columns import map_arrow
@@ -222,6 +223,42 @@ def label_words(scores: list[np.ndarray]) -> list[np.ndarray]:
     return out
 
 
+def label_texts(scorer: Scorer, values: list[str | None], spans: bool) -> dict[str, list]:
+    """Languages, scores and, if asked for, spans of a batch of texts."""
+    names = scorer.model.languages
+    out: dict[str, list] = {"lang_pred": [], "score": []} | ({"spans": []} if spans else {})
+    texts = [(t or "") if names else "" for t in values]
+    words = [WORD.findall(t.lower()) for t in texts]
+    flat = [w for ws in words for w in ws]
+    numbers = scorer.lookup(flat)
+    ends = np.cumsum([0, *map(len, words)])
+    parts = [scorer.scores[numbers[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
+    lengths = np.fromiter(map(len, flat), np.int64, len(flat))
+    for n, labels in enumerate(label_words(parts)):
+        if not len(labels):
+            top, share = None, 0.0
+        else:
+            letters = np.bincount(labels, lengths[ends[n] : ends[n + 1]], len(names))
+            top = int(letters.argmax())
+            share = float(letters[top] / letters.sum())
+        out["lang_pred"].append(UNDETERMINED if top is None else names[top])
+        out["score"].append(share)
+        if spans:
+            out["spans"].append([] if top is None else word_spans(texts[n], labels, names))
+    return out
+
+
+def label_column(text: Column, model: Model) -> Column:
+    """``lang_pred`` and ``score`` as a struct."""
+
+    def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield pd.DataFrame(label_texts(scorer, batch.tolist(), spans=False))
+
+    return F.pandas_udf(labelled, "lang_pred string, score double")(text)
+
+
 def identify(
     docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id", spans: bool = True
 ) -> DataFrame:
@@ -230,32 +267,8 @@ def identify(
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         scorer = Scorer(model)
-        names = model.languages
         for batch in batches:
-            out = {"_key": batch["_key"], "lang_pred": [], "score": []}
-            if spans:
-                out["spans"] = []
-            texts = [(t or "") if names else "" for t in batch["_text"]]
-            words = [WORD.findall(t.lower()) for t in texts]
-            flat = [w for ws in words for w in ws]
-            numbers = scorer.lookup(flat)
-            ends = np.cumsum([0, *map(len, words)])
-            parts = [scorer.scores[numbers[a:b]] for a, b in zip(ends, ends[1:], strict=False)]
-            lengths = np.fromiter(map(len, flat), np.int64, len(flat))
-            for n, labels in enumerate(label_words(parts)):
-                if not len(labels):
-                    out["lang_pred"].append(UNDETERMINED)
-                    out["score"].append(0.0)
-                    if spans:
-                        out["spans"].append([])
-                    continue
-                letters = np.bincount(labels, lengths[ends[n] : ends[n + 1]], len(names))
-                top = int(letters.argmax())
-                out["lang_pred"].append(names[top])
-                out["score"].append(float(letters[top] / letters.sum()))
-                if spans:
-                    out["spans"].append(word_spans(texts[n], labels, names))
-            yield out
+            yield {"_key": batch["_key"]} | label_texts(scorer, batch["_text"], spans)
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"_key {kind}, lang_pred string, score double"

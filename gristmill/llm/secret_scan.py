@@ -19,6 +19,7 @@ import math
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -206,13 +207,9 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", clean
 
 def redact_column(docs: DataFrame, text: str = "text") -> DataFrame:
     """The same rows and columns, with the secrets in ``text`` replaced."""
-    from pyspark.sql.functions import pandas_udf
 
-    def cleaned(values):
+    def cleaned(values: pd.Series) -> pd.Series:
         return values.map(lambda t: redact(t, find_spans(t)))
 
-    return docs.withColumn(text, pandas_udf(cleaned, "string")(F.col(text)))
+    return docs.withColumn(text, F.pandas_udf(cleaned, "string")(F.col(text)))
 
-
-def digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()

@@ -16,6 +16,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -169,11 +170,9 @@ def encode_documents(
 
 def decode_column(ids: Column, model: bytes) -> Column:
     """The texts of arrays of ids; a null array gives null."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
 
     def texts(values: pd.Series) -> pd.Series:
         v = vocabulary(model)
         return values.map(lambda x: None if x is None else decode(v, x))
 
-    return pandas_udf(texts, "string")(ids)
+    return F.pandas_udf(texts, "string")(ids)

@@ -137,6 +137,8 @@ def group_links(
     sizes = np.array([len(s) for s in sets])
     left = np.flatnonzero(blocks == first)
     right = np.flatnonzero(blocks == second)
+    if not len(left) or not len(right):
+        return counts, []
     flat = np.concatenate([sets[i] for i in right])
     owner = np.repeat(np.arange(len(right)), sizes[right])
     order = np.argsort(flat, kind="stable")

@@ -229,6 +229,12 @@ def jaccard_join(
 ) -> DataFrame:
     """One row per input row: ``key``, ``class_id``, ``class_size`` (documents), ``n_links``
     (other sets at the threshold or above) and ``n_copies`` (other documents with this set)."""
+    classes = _classes(docs, text, key, width, threshold)
+    return classes.drop("mark").withColumnRenamed("_key", key)
+
+
+def _classes(docs: DataFrame, text: str, key: str, width: int, threshold: float) -> DataFrame:
+    """The columns of ``jaccard_join`` with the id as ``_key``, and ``mark``, a hash of the text."""
     prepared(docs.sparkSession)
     depth = match_depth(threshold)
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("mark"))
@@ -260,7 +266,8 @@ def jaccard_join(
     sized = labelled.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     by_node = labelled.join(sized, "root").select("node", "class_id", "class_size", "copies", "n_links")
     return signed.join(by_node, "node", "left").select(
-        F.col("_key").alias(key),
+        "_key",
+        "mark",
         F.when(F.col("node").isNull(), F.col("_key")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
@@ -271,13 +278,13 @@ def jaccard_join(
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents, all columns, that name a class: one of each class stays.
 
-    Repeated rows of such a document become one. The rows are dealt out by id once, for the
-    join and for the repeats alike.
+    Repeated rows of such a document become one. Documents without an id stay only where
+    their class has none with an id. The rows are dealt out once, for join and repeats alike.
     """
     columns = docs.columns
     as_text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
-    classes = jaccard_join(docs, text, key)
-    kept = classes.where(F.col(key).eqNullSafe(F.col("class_id"))).select(as_text(F.col(key)).alias("__id"))
+    named = _classes(docs, text, key, WIDTH, THRESHOLD).where(F.col("_key").eqNullSafe(F.col("class_id")))
+    kept = named.select(as_text(F.col("_key")).alias("__id"), F.col("mark").alias("__mark")).distinct()
     marked = docs.withColumn("__id", as_text(F.col(key))).withColumn("__mark", F.xxhash64(text))
-    left = marked.join(kept.distinct(), "__id", "left_semi")
+    left = marked.join(kept, ["__id", "__mark"], "left_semi")
     return left.dropDuplicates(["__id", "__mark"]).select(columns)

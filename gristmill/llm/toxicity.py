@@ -115,9 +115,18 @@ class StemAutomaton:
         if state not in self.numbers:
             self.numbers[state] = len(self.states)
             self.states.append(state)
-            self.found.append(min((e for n, e in state if self.trie.ends[n]), default=None))
+            self.found.append(min(self._errors(state), default=None))
         return self.numbers[state]
 
+    def _errors(self, state: frozenset[tuple[int, int]]) -> Iterator[int]:
+        """Errors of the stems that end here, a missing last letter included."""
+        trie = self.trie
+        for node, errors in state:
+            if trie.ends[node]:
+                yield errors
+            if not errors and any(trie.ends[c] and trie.fuzzy[c] for c in trie.next[node].values()):
+                yield 1
+
     def match(self, word: str) -> int | None:
         at, best = 0, None
         for i, char in enumerate(word):

@@ -60,6 +60,16 @@ def url_category(
     )
 
 
+def on_site(host: Column, site: str) -> Column:
+    """Whether a host is the site or lies below it."""
+    return (host == site) | host.endswith(f".{site}")
+
+
+def category_number(articles: DataFrame) -> DataFrame:
+    """How many different categories there are."""
+    return articles.agg(F.count_distinct("category").alias("categories"))
+
+
 def url_part(index: int) -> Column:
     return F.get(F.split("url", "/"), F.lit(index))
 
@@ -67,11 +77,12 @@ def url_part(index: int) -> Column:
 def dedup_first(articles: DataFrame, key: str, position: str) -> DataFrame:
     """Keep the first row of each key in position order; null is a key too.
 
-    The first row is kept by an aggregate, so copies disappear before the
-    shuffle and a key with very many copies is no burden.
+    The smallest position per key is a hash aggregate that combines before the shuffle;
+    the rows come from a semi join on key and position, so no row travels in a buffer.
     """
-    first = F.min_by(F.struct(*articles.columns), position).alias("row")
-    return articles.groupBy(F.col(key).alias("_key")).agg(first).select("row.*")
+    first = articles.groupBy(F.col(key).alias("_key")).agg(F.min(position).alias("_first"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(position) == F.col("_first"))
+    return articles.join(first, same, "left_semi")
 
 
 def corpus_counts(articles: DataFrame, key: str = "url") -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.functions import text
-from gristmill.operators.joins import join_checked
 
 
 def labelled(nodes: DataFrame, label: str) -> DataFrame:
@@ -38,7 +37,7 @@ def in_neighbours(
 ) -> DataFrame:
     """Names of the nodes with an edge into the nodes that pass ``into``."""
     ends = labelled(nodes, target).where(into).select(F.col("id").alias("dst"))
-    hits = join_checked(typed(edges, kind), ends, "dst").select("src", "dst")
+    hits = typed(edges, kind).join(ends, "dst").select("src", "dst")
     people = labelled(nodes, source).select(F.col("id").alias("src"), "name")
     return hits.join(people, "src").orderBy("name", "src", "dst").select("name")
 
@@ -53,7 +52,7 @@ def out_neighbours(
 ) -> DataFrame:
     """Ids and titles the nodes that pass ``out_of`` have an edge to."""
     starts = labelled(nodes, source).where(out_of).select(F.col("id").alias("src"))
-    hits = join_checked(typed(edges, kind), starts, "src").select("dst")
+    hits = typed(edges, kind).join(starts, "src").select("dst")
     ends = labelled(nodes, target).select(F.col("id").alias("dst"), "title")
     return hits.join(ends, "dst").select(F.col("dst").alias("id"), "title")
 
@@ -83,7 +82,7 @@ def common_neighbours(
         )
     )
     per_target = (
-        join_checked(typed(edges, kind), starts, "src")
+        typed(edges, kind).join(starts, "src")
         .groupBy("dst")
         .agg(
             (F.sum("a") * F.sum("b") - F.sum(F.col("a") * F.col("b"))).alias("matches")
@@ -105,7 +104,7 @@ def contacts(
     passes ``role``; best paid first."""
     people = labelled(nodes, "Person")
     starts = people.where(of).select(F.col("id").alias("src"))
-    met = join_checked(typed(edges, "HAS_CONTACT"), starts, "src").select(
+    met = typed(edges, "HAS_CONTACT").join(starts, "src").select(
         F.col("dst").alias("id")
     )
     known = met.join(people.where(contact).select("id", "name", "born"), "id")
@@ -219,31 +218,33 @@ def resolve(nodes: DataFrame, requests: DataFrame) -> DataFrame:
     Names nobody bears drop out, shared names match every bearer."""
     people = labelled(nodes, "Person").select(F.col("name").alias("person"), F.col("id").alias("src"))
     movies = labelled(nodes, "Movie").select(F.col("title").alias("movie"), F.col("id").alias("dst"))
-    found = join_checked(people, requests, "person").select("src", "movie")
-    return join_checked(movies, found, "movie").select("src", "dst")
+    found = people.join(requests, "person").select("src", "movie")
+    return movies.join(found, "movie").select("src", "dst")
 
 
 def merge_edges(edges: DataFrame, pairs: DataFrame, kind: str = "VIEWED") -> DataFrame:
     """Upsert: an existing edge counts one more view per request, a missing one is
     created with one view and counts the repeats of its request on top.
 
-    Requests are few, edges many: the edges meet the requests in a checked
-    broadcast join and are not shuffled.
+    One full outer join of the edges with the counted requests; a side that turns out
+    small is left to adaptive execution.
     """
-    wanted = pairs.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("_more"))
-    key = ["src", "dst"]
-    tagged = wanted.withColumn("type", F.lit(kind))
-    bumped = join_checked(edges, tagged, [*key, "type"], "left").withColumn(
-        "views",
-        F.when(F.col("_more").isNotNull(), F.col("views") + F.col("_more")).otherwise(
-            F.col("views")
-        ),
+    wanted = pairs.groupBy(F.col("src").alias("_s"), F.col("dst").alias("_d")).agg(
+        F.count(F.lit(1)).alias("_more")
     )
-    present = join_checked(typed(edges, kind), wanted.select(*key), key, "left_semi").select(*key)
-    created = wanted.join(present, key, "left_anti").select(
-        *key, F.lit(kind).alias("type"), F.col("_more").alias("views")
-    )
-    return bumped.select(*edges.columns).unionByName(created, allowMissingColumns=True)
+    marked = edges.withColumn("_old", F.lit(True))
+    same = (F.col("src") == F.col("_s")) & (F.col("dst") == F.col("_d")) & (F.col("type") == kind)
+    met = marked.join(wanted, same, "full_outer")
+    new = F.col("_old").isNull()
+    changed = {
+        "src": F.when(new, F.col("_s")).otherwise(F.col("src")),
+        "dst": F.when(new, F.col("_d")).otherwise(F.col("dst")),
+        "type": F.when(new, F.lit(kind)).otherwise(F.col("type")),
+        "views": F.when(new, F.col("_more"))
+        .when(F.col("_more").isNotNull(), F.col("views") + F.col("_more"))
+        .otherwise(F.col("views")),
+    }
+    return met.withColumns(changed).select(*edges.columns)
 
 
 def line_degrees(lines: DataFrame, value: str = "value", trim: bool = True) -> DataFrame:
@@ -269,8 +270,18 @@ def most_popular(lines: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def most_obscure(lines: DataFrame, names: DataFrame) -> DataFrame:
-    """Named lines with the fewest neighbours, each line on its own. The minimum
-    is a scalar subquery over the named lines."""
-    named = join_checked(line_degrees(lines, trim=False), names, "id")
+    """Named lines with the fewest neighbours, each line on its own.
+
+    Lines shrink to one row per id and number before they meet the names, so an id with
+    very many lines is no burden; the rows of the minimum are repeated at the end.
+    """
+    counted = (
+        line_degrees(lines, trim=False).groupBy("id", "connections").agg(F.count(F.lit(1)).alias("_lines"))
+    )
+    named = counted.join(names, "id")
     fewest = named.agg(F.min("connections")).scalar()
-    return named.where(F.col("connections") == fewest).select("id", "name", "connections")
+    return (
+        named.where(F.col("connections") == fewest)
+        .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_lines").cast("int"))))
+        .select("id", "name", "connections")
+    )

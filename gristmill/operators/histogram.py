@@ -12,8 +12,11 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     The range is one row, read as a scalar subquery. A single distinct value
     widens the range by half a unit on both sides. Bins without rows are kept.
     """
-    values = df.select(F.col(value).cast("double").alias("x")).where(
-        F.col("x").isNotNull()
+    # One row per value: the range and the bins both work on the counts.
+    values = (
+        df.groupBy(F.col(value).cast("double").alias("x"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("x").isNotNull())
     )
     ends = values.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
         F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
@@ -33,7 +36,7 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     )
     placed = (
         values.withColumn("ends", limits)
-        .select("x", "ends.lo", "ends.hi")
+        .select("x", "n", "ends.lo", "ends.hi")
         .withColumn("g", guess)
         .select(
             (
@@ -43,10 +46,11 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
                     F.col("g") + 1,
                 )
                 .otherwise(F.col("g"))
-            ).alias("bin")
+            ).alias("bin"),
+            "n",
         )
     )
-    counts = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy("bin").agg(F.sum("n").alias("n"))
     frame = (
         df.sparkSession.range(bins)
         .withColumnRenamed("id", "bin")

@@ -64,10 +64,13 @@ def parse_articles(messages: DataFrame, *keep: str, value: str = "value") -> Dat
             F.try_variant_get(F.col("_count"), "$", "int"),
         )
     )
-    lines = F.try_variant_get(F.col("_content"), "$", "array<string>")
+    items = F.try_variant_get(F.col("_content"), "$", "array<variant>")
+    all_text = F.forall(items, lambda x: F.coalesce(F.schema_of_variant(x), F.lit("VOID")) == "STRING")
+    # One item that is no text makes the whole content unreadable.
+    lines = F.when(all_text, F.try_variant_get(F.col("_content"), "$", "array<string>"))
     body = (
         F.when(F.col("_content_kind") == "MISSING", F.lit(""))
-        .when(F.col("_content_kind").startswith("ARRAY"), F.concat_ws(" ", lines))
+        .when(F.col("_content_kind").startswith("ARRAY"), F.array_join(lines, " "))
         .otherwise(_text("_content"))
     )
     title = F.when(F.col("_title_kind") == "MISSING", F.lit("")).otherwise(_text("_title"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.operators.joins import BROADCAST_ROWS
 from gristmill.session import shared_dir
 
+#: Rows that are compared in one window.
 BUCKET_ROWS = 1_000_000
 
 
@@ -55,59 +55,26 @@ def with_previous(
     name: str = "prev",
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """Add ``value`` of the row before, in the order of the whole number ``seq``.
+    """Add ``value`` of the row before with the same keys, in the order of ``seq``.
 
-    Keys of up to ``bucket_rows`` rows are windows of their own. Larger ones, and
-    the keyless form, are cut into buckets of ``bucket_rows`` numbers; ``seq`` is
-    unique per key, so a bucket holds at most that many rows and no key meets in
-    one task. The first row of a bucket takes the last value of the bucket
-    before, from a table with one row per bucket.
+    The rows are numbered in the order of keys and ``seq``; buckets of ``bucket_rows``
+    positions are windows, whatever the keys and however sparse ``seq`` is. The first row
+    of a bucket looks at the last row of the bucket before, from a table with one row per
+    bucket. Rows without ``seq`` come first; null is a key too.
     """
     keys = list(keys)
-    bucket = F.floor(F.col(seq) / bucket_rows)
-    if keys:
-        hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(
-            F.col("_n") > bucket_rows
-        )
-        found = hot.count()
-        if not found:
-            alone = Window.partitionBy(*keys).orderBy(seq)
-            return df.withColumn(name, F.lag(F.col(value)).over(alone))
-        marks = hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_n")
-        if found <= BROADCAST_ROWS:
-            marks = F.broadcast(marks)
-        marked = df.join(marks, _same(keys, "_h"), "left")
-        split = marked.withColumn("_hot", F.col("_n").isNotNull())
-    else:
-        split = df.withColumn("_hot", F.lit(True))
-    bucketed = split.withColumn("_bucket", F.when(F.col("_hot"), bucket).otherwise(F.lit(0)))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(seq)
-    rows = bucketed.withColumn("_inner", F.lag(F.col(value)).over(inside)).withColumn(
-        "_first", F.row_number().over(inside) == 1
+    numbered = with_position(df, [*keys, seq], "_pos").withColumn(
+        "_bucket", F.expr(f"(_pos - 1) div {bucket_rows}")
     )
-    tails = (
-        bucketed.where("_hot")
-        .groupBy(*keys, "_bucket")
-        .agg(F.max_by(value, seq).alias("_tail"))
+    own = F.struct(F.struct(*keys).alias("k") if keys else F.lit(0).alias("k"), F.col(value).alias("v"))
+    inside = Window.partitionBy("_bucket").orderBy("_pos")
+    rows = numbered.withColumn("_own", own).withColumn("_before", F.lag("_own").over(inside))
+    tails = numbered.groupBy(F.col("_bucket") + 1).agg(F.max_by(own, "_pos").alias("_tail"))
+    linked = rows.join(tails.toDF("_bucket", "_tail"), "_bucket", "left").withColumn(
+        "_link", F.coalesce("_before", "_tail")
     )
-    carried = tails.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        F.col("_bucket").alias("_b"),
-        F.lag("_tail").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_carry"),
-    )
-    return (
-        rows.join(carried, _same(keys, "_k") & (F.col("_bucket") == F.col("_b")), "left")
-        .withColumn(name, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_inner")))
-        .select(*df.columns, name)
-    )
-
-
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    """Keys equal to their renamed copies, null being equal to null."""
-    match = F.lit(True)
-    for i, key in enumerate(keys):
-        match = match & F.col(key).eqNullSafe(F.col(f"{prefix}{i}"))
-    return match
+    same = F.col("_link.k").eqNullSafe(F.col("_own.k"))
+    return linked.withColumn(name, F.when(same, F.col("_link.v"))).select(*df.columns, name)
 
 
 def out_of_order(

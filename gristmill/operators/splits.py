@@ -58,6 +58,10 @@ def fold(folds: DataFrame, i: int) -> tuple[DataFrame, DataFrame]:
     return folds.where(F.col("fold") != i), folds.where(F.col("fold") == i)
 
 
+#: Positions that are ranked together when the rows of a user are counted.
+BLOCK_ROWS = 1_000_000
+
+
 def leave_n(
     df: DataFrame,
     user: str,
@@ -65,44 +69,44 @@ def leave_n(
     start: int,
     stop: int,
     max_test: int = 0,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add ``is_test``: the ``start``-th to ``stop``-th row of each user, at most
     ``max_test`` rows in total in row order (no bound if 0 or less).
 
-    Per user only the first ``stop`` positions are ranked; Spark cuts the rest
-    off before the shuffle, so a user with very many rows is no burden. The
-    positions of a user's test rows form one range, which is all that is joined.
+    A row's number is its rank within its user and block of positions, plus the user's
+    rows in earlier blocks, which are counted per user and block. A window holds one
+    block of one user at most, whatever the bounds and however many rows a user has.
     """
-    numbered = with_position(df, order)
-    ranked = (
-        numbered.select(user, "pos")
-        .withColumn("nth", F.row_number().over(Window.partitionBy(user).orderBy("pos")))
-        .where(F.col("nth") <= stop)
-        .where(F.col("nth") >= start)
-        .select(user, "pos")
+    blocked = with_position(df, order).withColumn("_block", F.expr(f"(pos - 1) div {block_rows}"))
+    earlier = Window.partitionBy(user).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = (
+        blocked.groupBy(user, "_block")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(
+            F.col(user).alias("_user"),
+            F.col("_block").alias("_b"),
+            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"),
+        )
+    )
+    inside = Window.partitionBy(user, "_block").orderBy("pos")
+    ranked = blocked.withColumn("_in", F.row_number().over(inside))
+    same = F.col(user).eqNullSafe(F.col("_user")) & (F.col("_block") == F.col("_b"))
+    marked = ranked.join(counts, same).withColumn(
+        "is_test", (F.col("_in") + F.col("_offset")).between(start, stop)
     )
-    ranges = ranked.groupBy(user).agg(F.min("pos").alias("_from"), F.max("pos").alias("_to"))
     if max_test > 0:
         last = (
-            with_position(ranked, ["pos"], "_rank")
+            with_position(marked.where("is_test").select("pos"), ["pos"], "_rank")
             .where(F.col("_rank") <= max_test)
             .agg(F.max("pos"))
             .scalar()
         )
-        ranges = ranges.withColumn("_to", F.least("_to", last))
-    # The rows from the start-th to the stop-th are exactly this user's rows in
-    # the range, and the cap only ever shortens it.
-    marked = numbered.join(
-        ranges.select(F.col(user).alias("_user"), "_from", "_to"),
-        F.col(user).eqNullSafe(F.col("_user")),
-        "left",
-    )
-    return marked.withColumn(
-        "is_test",
-        F.coalesce(F.col("pos").between(F.col("_from"), F.col("_to")), F.lit(False)),
-    ).select(*df.columns, "pos", "is_test")
+        marked = marked.withColumn("is_test", F.col("is_test") & (F.col("pos") <= last))
+    return marked.select(*df.columns, "pos", "is_test")
 
 
-def random_row(df: DataFrame, seed: int | None = None) -> DataFrame:
-    """One row drawn at random: a top-1 by random number, not a sort."""
-    return df.orderBy(F.rand(seed) if seed is not None else F.rand()).limit(1)
+def random_row(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """One row drawn by a digest of seed and key: the same row whatever the partitioning."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
+    return df.orderBy(digest, key).limit(1)

@@ -9,24 +9,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.operators.joins import join_checked
-
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, scan: DataFrame) -> DataFrame:
-    """Spread the rows of ``df`` where its ``scan`` has fewer tasks than the session
-    has cores, as with a single small file; many files are left as they are."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if scan.rdd.getNumPartitions() < cores else df
+#: Session setting: into how many tasks texts are dealt before work on them. Unset, the
+#: scan decides; tables of one row group gain from a number of about the cores.
+TEXT_PARTITIONS = "gristmill.text.partitions"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows if the session asks for it."""
+    wanted = df.sparkSession.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table of long texts, ready for work on every core."""
-    df = table(spark, folder, name)
-    return spread(df, df)
+    return spread(table(spark, folder, name))
 
 
 # --- articles -------------------------------------------------------------
@@ -333,7 +334,7 @@ def contacts_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
         F.col("c_custkey").alias("a"), F.col("c_nationkey")
     )
     return (
-        join_checked(people, anchor, "c_nationkey")
+        people.join(anchor, "c_nationkey")
         .where(F.col("a") != F.col("c_custkey"))
         .select(
             (F.col("a") * 2).alias("src"),
@@ -371,13 +372,6 @@ JOIN nation nc ON c_nationkey = nc.n_nationkey
 """
 
 
-def year_lines(spark: SparkSession, folder: str, year: int) -> DataFrame:
-    """Lines shipped in one year; the date range reaches the scan."""
-    ship = F.col("l_shipdate")
-    first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (year, year + 1))
-    return table(spark, folder, "lineitem").where((ship >= first) & (ship < after))
-
-
 def flights(
     spark: SparkSession, folder: str, lines: DataFrame | None = None
 ) -> DataFrame:

@@ -232,17 +232,22 @@ FROM (
            CASE WHEN p[4] = 'en' AND len(p) > 5 THEN p[5] ELSE p[4] END AS deeper
     FROM (SELECT page_id, url, {URL_PARTS} AS p,
                  regexp_extract(html, '(?s)<h1\\b[^>]*>(.*?)</h1>', 1) AS title FROM pages))
-WHERE title <> '' AND len(p) > 3 AND ends_with(p[3], '{b.SITE}')""")
+WHERE title <> '' AND len(p) > 3 AND (p[3] = '{b.SITE}' OR ends_with(p[3], '.{b.SITE}'))""")
 def url_category(spark, folder):
     """Pages of one site with the category of their address; 'en' is the nested
     section here."""
     pages = b.texts(spark, folder, "pages").select(
         "page_id", "url", F.regexp_extract("html", r"(?s)<h1\b[^>]*>(.*?)</h1>", 1).alias("title")
     )
-    host = corpus.url_part(2).endswith(b.SITE)
+    host = corpus.on_site(corpus.url_part(2), b.SITE)
     return corpus.url_category(pages, host, nested="en").select("page_id", "url", "category")
 
 
+@query(f"SELECT count(DISTINCT category) AS categories FROM ({b.ARTICLES_SQL})")
+def category_number(spark, folder):
+    return corpus.category_number(b.articles(spark, folder))
+
+
 def plain_sql(markup: str) -> str:
     text = f"regexp_replace({markup}, '<[^>]*>', '', 'g')"
     for entity, char in (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gristmill.operators import models, splits
 from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
+from gristmill.session import scratch
 
 ORDER = ", ".join(b.LINE_ORDER)
 RATING_OUT = "user_id, movie_id, rating, l_orderkey, l_linenumber"
@@ -32,9 +33,9 @@ def leave_sql(start: int, stop: int, cap: int) -> str:
           FROM ({b.RATINGS_SQL}))"""
 
 
-@query(leave_sql(1, 10, 100_000))
+@query(leave_sql(1, 10, 0))
 def leave_n_split(spark, folder):
-    marked = splits.leave_n(b.ratings(spark, folder), "user_id", b.LINE_ORDER, 1, 10, 100_000)
+    marked = splits.leave_n(b.ratings(spark, folder), "user_id", b.LINE_ORDER, 1, 10)
     return marked.select(*RATING_OUT.split(", "), "pos", "is_test")
 
 
@@ -44,22 +45,27 @@ def leave_n_split_capped(spark, folder):
     return marked.select(*RATING_OUT.split(", "), "pos", "is_test")
 
 
-@query()
+@query(f"""
+SELECT doc_id, url, title FROM ({b.ARTICLES_SQL})
+ORDER BY md5('7:' || CAST(doc_id AS VARCHAR)), doc_id LIMIT 1""")
 def random_row(spark, folder):
-    return splits.random_row(b.articles(spark, folder), seed=7).select("doc_id", "url", "title")
+    return splits.random_row(b.articles(spark, folder), "doc_id", seed=7).select("doc_id", "url", "title")
 
 
 SHARED = '"Year", "Month", "UniqueCarrier", "Origin", "Dest", "ArrDelay", l_orderkey, l_linenumber'
-YEARS = range(1995, 2002)
 
 
-@query(f'SELECT {SHARED} FROM ({b.FLIGHTS_SQL}) WHERE "Year" BETWEEN {YEARS[0]} AND {YEARS[-1]}')
+@query(f"SELECT {SHARED} FROM ({b.FLIGHTS_SQL})")
 def union_years(spark, folder):
-    """Yearly tables as one."""
-    lines = splits.union_all(*[b.year_lines(spark, folder, y) for y in YEARS])
-    return b.flights(spark, folder, lines).select(
-        *[c.strip().strip('"') for c in SHARED.split(",")]
-    )
+    """Yearly tables as one: the table is written as one part per year, in one scan, and
+    every part that is there is read as a table of its own."""
+    base = scratch(spark, "years")
+    whole = b.flights(spark, folder).select(*[c.strip().strip('"') for c in SHARED.split(",")])
+    whole.withColumn("_part", F.col("Year")).write.partitionBy("_part").parquet(base)
+    years = [r[0] for r in spark.read.parquet(base).select("_part").distinct().orderBy("_part").collect()]
+    none = whole.where(F.lit(False))
+    parts = [spark.read.schema(whole.schema).parquet(f"{base}/_part={y}") for y in years if y is not None]
+    return splits.union_all(none, *parts)
 
 
 ROWS_SQL = f"""
@@ -95,27 +101,56 @@ def string_index(spark, folder):
 
 def _delay_split(spark, folder):
     keyed = b.flights(spark, folder)
-    test = splits.in_test(*b.LINE_ORDER)
+    key = F.concat_ws(":", F.lit("42"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")])
+    test = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
     return models.delay_rows(keyed.where(~test)), models.delay_rows(keyed.where(test))
 
 
-@query()
+IN_TEST = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_linenumber"))
+TEST_SQL = f"substr(md5('42:' || {IN_TEST}), 1, 1) IN ('0', '8')"
+# Test rows whose categories the train rows know and whose numbers can be read.
+VERIFIED_SQL = f"""
+WITH flown AS (
+    SELECT *, {TEST_SQL} AS held FROM ({b.FLIGHTS_SQL})
+    WHERE "Cancelled" = 0 AND TRY_CAST("ArrDelay" AS DOUBLE) IS NOT NULL
+)
+SELECT CASE WHEN TRY_CAST("ArrDelay" AS DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
+       count(*) AS n, true AS better_than_chance, true AS in_classes
+FROM flown
+WHERE held AND TRY_CAST("CRSElapsedTime" AS INTEGER) IS NOT NULL
+  AND {" AND ".join(f'"{c}" IN (SELECT "{c}" FROM flown WHERE NOT held)' for c in models.CATEGORIES)}
+GROUP BY label"""
+
+
+def _verified(predicted):
+    """What SQL can say about predictions: the test rows per class, and that the accuracy is
+    at least a half and every prediction is one of the classes."""
+    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
+    facts = predicted.agg(
+        F.struct(
+            (right >= 0.5).alias("better"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known")
+        )
+    ).scalar()
+    counts = predicted.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("_f", facts).select(
+        "label", "n", F.col("_f.better").alias("better_than_chance"), F.col("_f.known").alias("in_classes")
+    )
+
+
+@query(VERIFIED_SQL)
 def delay_logistic(spark, folder):
-    predicted = models.delay_logistic(*_delay_split(spark, folder))
-    return models.accuracy(predicted)
+    return _verified(models.delay_logistic(*_delay_split(spark, folder)))
 
 
-@query()
+@query(VERIFIED_SQL)
 def delay_forest(spark, folder):
-    predicted = models.delay_forest(*_delay_split(spark, folder))
-    return models.accuracy(predicted)
+    return _verified(models.delay_forest(*_delay_split(spark, folder)))
 
 
-@query()
+@query(VERIFIED_SQL)
 def delay_model(spark, folder):
     """The gated choice between both models."""
-    predicted = models.delay_model(*_delay_split(spark, folder))
-    return predicted.groupBy("model", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return _verified(models.delay_model(*_delay_split(spark, folder)))
 
 
 @query(f"""
@@ -133,13 +168,19 @@ def accuracy(spark, folder):
 HOUSE_FEATURES = ("HouseAge", "DistanceToMRT", "NumberConvenienceStores")
 
 
-@query()
+@query("""
+SELECT p_partkey AS id, p_retailprice AS "PriceOfUnitArea", true AS in_range FROM part
+WHERE substr(md5('42:' || CAST(p_partkey AS VARCHAR)), 1, 1) IN ('0', '8')""")
 def price_tree(spark, folder):
-    train, test = splits.hash_split(b.houses(spark, folder), "id")
+    """The test rows, and that each prediction lies inside the range of the train prices."""
+    houses = b.houses(spark, folder)
+    key = F.concat(F.lit("42:"), F.col("id").cast("string"))
+    held = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
+    train, test = houses.where(~held), houses.where(held)
     predicted = models.price_tree(train, test, HOUSE_FEATURES, "PriceOfUnitArea")
-    return models.differences(predicted, "PriceOfUnitArea").select(
-        "id", "prediction", "PriceOfUnitArea", "difference"
-    )
+    ends = train.agg(F.struct(F.min("PriceOfUnitArea").alias("low"), F.max("PriceOfUnitArea").alias("high"))).scalar()
+    inside = F.col("prediction").between(F.col("_e.low"), F.col("_e.high"))
+    return predicted.withColumn("_e", ends).select("id", "PriceOfUnitArea", inside.alias("in_range"))
 
 
 @query("""

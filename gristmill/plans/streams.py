@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,18 +17,13 @@ from gristmill.session import scratch
 from gristmill.sources.readers import table_stream
 from gristmill.streaming import detector, fanout, runs, windows
 
-# Input files per micro-batch where a batch is kept or sorted in memory. Windows
-# and counts take all that is there: no row can then be late.
-PER_BATCH = 200
-
 
-def _stream(spark, folder, name, per_batch=None):
-    return table_stream(spark, f"{folder}/{name}.parquet", per_batch)
+def _stream(spark, folder, name):
+    return table_stream(spark, f"{folder}/{name}.parquet")
 
 
-def _documents(spark, folder, per_batch=None):
-    stream = _stream(spark, folder, "documents", per_batch)
-    return b.spread(stream, b.table(spark, folder, "documents"))
+def _documents(spark, folder):
+    return b.spread(_stream(spark, folder, "documents"))
 
 
 def _lines(spark, folder):
@@ -43,10 +40,10 @@ def _write(spark, stream, label, mode, **options):
 
 @query(PLAIN_SQL)
 def stream_word_count(spark, folder):
+    """Written unsorted; sorted once, when the newest counts are read."""
     counts = words.plain_counts(_lines(spark, folder))
-    order = [F.col("n").desc(), F.col("word")]
-    out = _write(spark, counts, "words", "complete", order=order)
-    return runs.last_batch(spark, out, counts.schema)
+    out = _write(spark, counts, "words", "complete")
+    return runs.last_batch(spark, out, counts.schema).orderBy(F.col("n").desc(), F.col("word"))
 
 
 @query(LETTERS_SQL)
@@ -96,6 +93,23 @@ def sliding_word_count(spark, folder):
     return runs.last_batch(spark, out, counts.schema)
 
 
+KEYWORD_WINDOWS = sliding_sql(
+    "events", "ts", 3600, 600, "",
+    "count(*) AS total_count, CAST(sum(CAST(contains(event_type, 'error') AS INTEGER)) AS BIGINT)"
+    " AS keyword_count")
+
+
+@query(KEYWORD_WINDOWS)
+def sliding_keyword_count_complete(spark, folder):
+    """All windows, those still open at the end too."""
+    events = windows.with_event_time(_stream(spark, folder, "events"), "ts", late=None)
+    counts = windows.keyword_windows(
+        events, F.col("event_type").contains("error"), "1 hour", "10 minutes"
+    )
+    out = _write(spark, counts, "keywords", "complete")
+    return runs.last_batch(spark, out, counts.schema)
+
+
 @query(f"""
 SELECT * FROM ({sliding_sql("events", "ts", 3600, 600, "",
     "count(*) AS total_count, CAST(sum(CAST(contains(event_type, 'error') AS INTEGER)) AS BIGINT)"
@@ -117,7 +131,7 @@ def parse_events(spark, folder):
 
 
 def _parsed_stream(spark, folder):
-    return parse_articles(b.messages(_documents(spark, folder, PER_BATCH)), "doc_id")
+    return parse_articles(b.messages(_documents(spark, folder)), "doc_id")
 
 
 @query(f"SELECT doc_id, title, comment_count FROM ({b.PARSED_SQL}) WHERE comment_count > 100")
@@ -171,41 +185,47 @@ def stream_fan_out(spark, folder):
     return whole
 
 
-def _orders(spark, folder, per_batch=None):
-    return _stream(spark, folder, "orders", per_batch).select("o_orderkey", "o_custkey", "o_orderdate")
-
-
-@query(KEYED_LATE)
-def stream_out_of_order(spark, folder):
-    orders = _orders(spark, folder, PER_BATCH)
-    late = detector.keyed(orders, "o_custkey", "o_orderkey", "o_orderdate")
-    out = _write(spark, late, "late", "append")
-    return runs.read_batches(spark, out, late.schema).drop("batch_id")
+#: Micro-batches of the registered out-of-order runs.
+BATCHES = 4
 
 
 def _late_by_batches(spark, folder, keys=()):
-    stream = _orders(spark, folder)
+    """The orders as a source written in sequence: one folder per stretch of order numbers,
+    each worked off by a run of its own that goes on from the state of the run before."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     base = scratch(spark, "late")
-    runs.finish(
-        detector.by_batches(
-            stream,
-            "o_orderkey",
-            "o_orderdate",
-            f"{base}/out",
-            f"{base}/carry",
-            f"{base}/checkpoint",
-            keys=keys,
+    cuts = orders.select(
+        F.percentile_approx("o_orderkey", [i / BATCHES for i in range(1, BATCHES)], 10_000).alias("at")
+    ).first()["at"]
+    bounds = [None, *(cuts or []), None]
+    for low, high in itertools.pairwise(bounds):
+        rows = orders
+        if low is not None:
+            rows = rows.where(F.col("o_orderkey") >= low)
+        if high is not None:
+            rows = rows.where(F.col("o_orderkey") < high)
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
+        runs.finish(
+            detector.by_batches(
+                stream,
+                "o_orderkey",
+                "o_orderdate",
+                f"{base}/out",
+                f"{base}/carry",
+                f"{base}/checkpoint",
+                keys=keys,
+            )
         )
-    )
-    schema = StructType([*stream.schema.fields]).add("prev_ts", "timestamp_ntz")
+    schema = StructType([*orders.schema.fields]).add("prev_ts", "timestamp_ntz")
     return runs.read_batches(spark, f"{base}/out", schema).drop("batch_id")
 
 
+@query(KEYED_LATE)
+def stream_out_of_order(spark, folder):
+    return _late_by_batches(spark, folder, ["o_custkey"])
+
+
 @query(GLOBAL_LATE)
 def stream_out_of_order_global(spark, folder):
     return _late_by_batches(spark, folder)
-
-
-@query(KEYED_LATE)
-def stream_out_of_order_hot_keys(spark, folder):
-    return _late_by_batches(spark, folder, ["o_custkey"])

@@ -108,9 +108,16 @@ def text_stream(
 def table_stream(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A parquet table, a file or a folder of files, as a stream."""
-    schema = spark.read.parquet(path).schema
-    reader = spark.readStream.schema(schema)
+    """A parquet table, a file or a folder of files, as a stream.
+
+    A stream reads folders only. A single file is read through its folder, with its exact
+    name as the filter; a folder is read by its exact path, so tables beside it are not.
+    """
+    table = spark.read.parquet(path)
+    reader = spark.readStream.schema(table.schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(f"{path}*")
+    folder, _, name = path.rstrip("/").rpartition("/")
+    if any(file.rstrip("/").endswith(f"/{name}") for file in table.inputFiles()):
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)

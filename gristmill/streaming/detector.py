@@ -1,68 +1,34 @@
 """Out-of-order detection on a stream: rows whose time lies before that of the
 row ahead of them, in the order of a sequence number.
 
-Two forms. ``keyed`` keeps the last row of each key in the state store and suits
-many keys with small batches. ``by_batches`` compares inside a batch with
-bucketed windows and carries the last row per key from batch to batch in a small
-table: it has no single-task funnel and serves the keyless form and hot keys.
-In both a row older than the last one seen is compared with that one.
+Inside a batch rows are compared with bucketed windows. The last row per key is carried
+from batch to batch: batch N writes the rows of its own keys as delta N, and every
+``COMPACT``-th batch folds the deltas into one table, so the carried state stays within
+the keys ever seen plus the deltas since, whatever the number of batches. Older state than
+the last two tables is removed. Batches must come in the order of the sequence; a row older
+than the last one carried is compared with that one. There is no Python and no task that
+must hold all rows of a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructField, StructType
 
 from gristmill.operators.order import with_previous
 from gristmill.streaming.runs import batch_path, start
 
+#: Batches after which the carried rows are folded into one table.
+COMPACT = 10
 
-class LastTime(StatefulProcessor):
-    """Last sequence number and time (microseconds) of one key."""
 
-    def __init__(self, seq: str, ts: str):
-        self.seq, self.ts = seq, ts
-
-    def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "seq long, ts long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.last.get()
-        newest, before = known if known is not None else (None, None)
-        at = before
-        for row in sorted(rows, key=lambda r: r[self.seq]):
-            if before is not None and row[self.ts] is not None and row[self.ts] < before:
-                yield Row(**row.asDict(), prev_ts=before)
-            before = row[self.ts]
-            if newest is None or row[self.seq] >= newest:
-                newest, at = row[self.seq], before
-        self.last.update((newest, at))
-
-    def close(self) -> None:
-        pass
-
-
-def _as_time(micros: str):
-    return F.timestamp_micros(micros).cast("timestamp_ntz").alias(micros)
-
-
-def keyed(stream: DataFrame, key: str, seq: str, ts: str) -> DataFrame:
-    """Late rows with ``prev_ts``, per key. The rows of a key in one batch are
-    sorted in memory: bound the batch by the source's rate limit."""
-    rows = stream.withColumn(ts, F.unix_micros(F.col(ts).cast("timestamp")))
-    found = rows.groupBy(key).transformWithState(
-        statefulProcessor=LastTime(seq, ts),
-        outputStructType=StructType([*rows.schema.fields, StructField("prev_ts", LongType())]),
-        outputMode="append",
-        timeMode="None",
-    )
-    return found.select(
-        *[_as_time(ts) if c == ts else c for c in rows.columns], _as_time("prev_ts")
-    )
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def by_batches(
@@ -76,8 +42,8 @@ def by_batches(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Write late rows with ``prev_ts`` per batch below ``path``. ``carry`` holds
-    the last row per key after each batch; batch N reads N-1 and replaces N."""
+    """Write late rows with ``prev_ts`` per batch below ``path``; ``carry`` holds the last
+    row per key. Batch N reads what earlier batches left and replaces its own files."""
     spark = stream.sparkSession
     keys = list(keys)
     types = {f.name: f.dataType for f in stream.schema.fields}
@@ -95,10 +61,13 @@ def by_batches(
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            if batch_id:
-                known = spark.read.schema(carried).parquet(batch_path(carry, batch_id - 1))
-            else:
-                known = spark.createDataFrame([], carried)
+            base = (batch_id - 1) // COMPACT * COMPACT if batch_id else 0
+            earlier = [batch_path(carry, n) for n in range(base, batch_id)]
+            known = spark.createDataFrame([], carried)
+            if earlier:
+                newest = F.max_by(F.struct("_seq", "_ts"), "_seq").alias("last")
+                read = spark.read.schema(carried).parquet(*earlier)
+                known = read.groupBy(*keys).agg(newest).where("last IS NOT NULL").select(*keys, "last.*")
             firsts = batch.groupBy(*keys).agg(
                 F.min(seq).alias("_first"),
                 F.max(seq).alias("_seq"),
@@ -124,10 +93,18 @@ def by_batches(
             joined.where(F.col(ts) < F.col("prev_ts")).select(
                 *batch.columns, "prev_ts"
             ).write.mode("overwrite").parquet(batch_path(path, batch_id))
-            newest = F.max_by(F.struct("_seq", "_ts"), "_seq").alias("last")
-            firsts.select(*carried.names).unionByName(known).groupBy(*keys).agg(newest).where(
-                "last IS NOT NULL"
-            ).select(*keys, "last.*").write.mode("overwrite").parquet(batch_path(carry, batch_id))
+            latest = F.max_by(F.struct("_seq", "_ts"), "_seq").alias("last")
+            kept = firsts.select(*carried.names)
+            if batch_id % COMPACT == 0:
+                kept = kept.unionByName(known)
+                for old in range(max(0, base - COMPACT), base):
+                    _remove(spark, batch_path(carry, old))
+            else:
+                # The batch's own keys: their newest row, old or new.
+                kept = kept.unionByName(known.join(firsts, same_key(known, firsts), "left_semi"))
+            kept.groupBy(*keys).agg(latest).where("last IS NOT NULL").select(*keys, "last.*").write.mode(
+                "overwrite"
+            ).parquet(batch_path(carry, batch_id))
         finally:
             batch.unpersist()
 

@@ -31,7 +31,7 @@ def test_counts_are_combined_before_the_shuffle(spark):
 
 def test_first_of_each_key_is_picked_before_the_shuffle(spark):
     text = plan(corpus.dedup_first(b.articles(spark, FOLDER), "url", "doc_id"))
-    assert "partial_min_by" in text and "Window" not in text
+    assert "partial_min" in text and "Window" not in text and "SortAggregate" not in text
 
 
 def test_ratings_shrink_before_they_meet_titles(spark):

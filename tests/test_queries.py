@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from gristmill.plans.registry import QUERIES
 from tests.oracle import DATA, compare, connect
 
 FOLDER = f"{DATA}/sf0.001"
@@ -19,8 +20,6 @@ TOP_K = (
     "graph_any_nodes",
     "random_row",
 )
-# Queries that train models or keep state in Python by their nature.
-PYTHON = ("stream_out_of_order",)
 
 
 @pytest.fixture(scope="module")
@@ -28,10 +27,10 @@ def db():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
-    twin = entry.oracle_sql().get(name)
+    df = QUERIES[name].run(spark, FOLDER)
+    twin = QUERIES[name].sql
     if twin:
         assert compare(df, db, twin) == []
     else:
@@ -39,8 +38,7 @@ def test_query(spark, db, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
-    if name not in PYTHON:
-        assert "EvalPython" not in plan and "InPandas" not in plan
+    assert "EvalPython" not in plan and "InPandas" not in plan
     if name in TOP_K:
         assert "TakeOrderedAndProject" in plan
 

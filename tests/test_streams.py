@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gristmill.operators import order, words
 from gristmill.operators.messages import parse_articles
-from gristmill.sources.readers import text_stream
+from gristmill.sources.readers import table_stream, text_stream
 from gristmill.streaming import detector, fanout, runs, windows
 from gristmill.streaming.articles import start_articles
 
@@ -193,16 +193,6 @@ def _order_stream(spark, tmp_path, upto=3):
 KEYED = [(1, 0), (1, 2), (1, 5), (1, 6)]
 
 
-def test_keyed_detector_over_batches_and_restart(spark, tmp_path):
-    for upto in (1, 3):
-        late = detector.keyed(_order_stream(spark, tmp_path, upto), "k", "seq", "ts")
-        runs.finish(runs.write_batches(late, str(tmp_path / "o"), str(tmp_path / "c")), LIMIT)
-    got = runs.read_batches(spark, str(tmp_path / "o"), late.schema)
-    assert values(got.select("k", "seq")) == KEYED
-    first = got.where("seq = 5").first()
-    assert str(first["prev_ts"]) == "2020-01-04 00:00:00"
-
-
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_batchwise_detector(spark, tmp_path, keys):
     for upto in (1, 3):
@@ -226,10 +216,44 @@ def test_detectors_equal_the_batch_form_when_order_holds(spark, tmp_path):
         os.utime(tmp_path / "in" / f"f{i}", (1_600_000_000 + i * 60,) * 2)
     batch = records(spark.read.text(str(tmp_path / "in")))
     stream = records(text_stream(spark, path=str(tmp_path / "in"), files_per_trigger=1))
-    late = detector.keyed(stream, "k", "seq", "ts")
-    runs.finish(runs.write_batches(late, str(tmp_path / "o"), str(tmp_path / "c")), LIMIT)
-    got = runs.read_batches(spark, str(tmp_path / "o"), late.schema).drop("batch_id")
+    paths = [str(tmp_path / x) for x in ("o", "y", "c")]
+    runs.finish(detector.by_batches(stream, "seq", "ts", *paths, keys=["k"]), LIMIT)
+    schema = stream.schema.add("prev_ts", "timestamp_ntz")
+    got = runs.read_batches(spark, paths[0], schema).drop("batch_id")
+    assert values(got) == values(order.out_of_order(batch, "ts", "seq", ["k"]))
+
+
+def test_carried_rows_are_folded_and_old_ones_removed(spark, tmp_path, monkeypatch):
+    import os
+
+    monkeypatch.setattr(detector, "COMPACT", 2)
+    rows = [f"{i * 7 % 5},{i},2020-01-{i * 11 % 28 + 1:02d}" for i in range(60)]
+    for i in range(6):
+        put(tmp_path / "in", f"f{i}", *rows[i * 10 : i * 10 + 10])
+        os.utime(tmp_path / "in" / f"f{i}", (1_600_000_000 + i * 60,) * 2)
+    stream = records(text_stream(spark, path=str(tmp_path / "in"), files_per_trigger=1))
+    paths = [str(tmp_path / x) for x in ("o", "y", "c")]
+    runs.finish(detector.by_batches(stream, "seq", "ts", *paths, keys=["k"]), LIMIT)
+    schema = stream.schema.add("prev_ts", "timestamp_ntz")
+    got = runs.read_batches(spark, paths[0], schema).drop("batch_id")
+    batch = records(spark.read.text(str(tmp_path / "in")))
     assert values(got) == values(order.out_of_order(batch, "ts", "seq", ["k"]))
+    assert sorted(os.listdir(paths[1])) == ["batch_id=2", "batch_id=3", "batch_id=4", "batch_id=5"]
+
+
+def test_a_table_stream_reads_no_sibling(spark, tmp_path):
+    for name, n in (("t.parquet", 3), ("t.parquet_old", 5)):
+        spark.range(n).write.parquet(str(tmp_path / name))
+    one = next((tmp_path / "t.parquet").glob("part-*"))
+    single = tmp_path / "single"
+    single.mkdir()
+    for name in ("u.parquet", "u.parquet_old"):
+        (single / name).write_bytes(one.read_bytes())
+    for i, path in enumerate((tmp_path / "t.parquet", single / "u.parquet")):
+        stream = table_stream(spark, str(path))
+        runs.finish(runs.write_batches(stream, str(tmp_path / f"o{i}"), str(tmp_path / f"c{i}")), LIMIT)
+        whole = spark.read.parquet(str(path)).count()
+        assert runs.read_batches(spark, str(tmp_path / f"o{i}"), stream.schema).count() == whole
 
 
 @pytest.mark.parametrize("event_time", [True, False])

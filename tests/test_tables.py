@@ -99,4 +99,5 @@ def test_union_and_random_splits(spark):
     again = splits.hash_split(df.repartition(7), "id")[1]
     assert sorted(rows(test)) == sorted(rows(again))
     assert train.intersect(test).count() == 0 and train.count() + test.count() == 1000
-    assert splits.random_row(df, 1).count() == 1
+    drawn = {splits.random_row(df.repartition(n), "id", 1).first()[0] for n in (1, 3, 8)}
+    assert len(drawn) == 1

@@ -16,7 +16,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: Session setting: into how many tasks texts are dealt before work on them. Unset, the
 #: scan decides; tables of one row group gain from a number of about the cores.
-TEXT_PARTITIONS = "gristmill.text.partitions"
+TEXT_PARTITIONS = "spark.gristmill.text.partitions"
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -37,10 +37,11 @@ def json_array_articles(spark, folder):
     """Articles in files that hold one JSON array each."""
     path = scratch(spark, "arrays")
     articles = b.articles(spark, folder).drop("category")
-    arrays = articles.groupBy(F.col("doc_id") % 16).agg(
+    # Five hundred documents a file, whatever the table's size.
+    arrays = articles.groupBy(F.expr("doc_id div 500")).agg(
         F.to_json(F.collect_list(F.struct(*[c for c in articles.columns if c != "doc_id"]))).alias("value")
     )
-    arrays.select("value").repartition(16, "value").write.option("maxRecordsPerFile", 1).text(path)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
     return _article_columns(readers.read_articles(spark, path, array_file=True))
 
 

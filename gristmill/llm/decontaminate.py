@@ -22,7 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.columns import prepared, with_shingles
-from gristmill.llm.windows import set_signatures, signature_values, window_signatures
+from gristmill.llm.windows import (
+    KEYS,
+    candidate_texts,
+    dealt_texts,
+    set_signatures,
+    signature_values,
+    window_signatures,
+)
 
 WIDTH, THRESHOLD, BASE = 5, 0.8, 32
 #: Bytes of benchmark signatures that may be sent to every task; larger ones are shuffled.
@@ -56,24 +63,18 @@ def find_items(
     # Partitions grow by powers of two, so there are few of them.
     facts = tests.groupBy("class").count().collect()
     classes = sorted(row["class"] for row in facts)
-    named = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_mark"), F.col(text).alias("_text"))
     if not classes:
-        empty = named.where("false").withColumn("item", F.lit(None).cast(items.schema[item_key].dataType))
-        return empty.select(F.col("_key").alias(key), "item", F.lit(0.0).alias("containment"))
-    keys = ["_key", "_mark"]
+        nothing = F.lit(None).cast(items.schema[item_key].dataType).alias("item")
+        return docs.where("false").select(F.col(key), nothing, F.lit(0.0).alias("containment"))
+    dealt = dealt_texts(docs, text, key)
     values = signature_values(set_signatures(tests, ["item", "class"], "held"), ["item", "class"])
     small = sum(row["count"] for row in facts) * 64 * 64 <= BROADCAST_BYTES
     values = F.broadcast(values) if small else values
-    windows = signature_values(window_signatures(named, keys, "_text", WIDTH, BASE, classes), [*keys, "class"])
-    candidates = windows.join(values, ["class", "value"]).select(*keys, "item").distinct()
-    wanted = candidates.groupBy(*keys).agg(F.collect_set("item").alias("items"))
-    asked = (
-        named.alias("d")
-        .join(wanted.alias("w"), F.expr("d._key <=> w._key and d._mark <=> w._mark"))
-        .select("d._key", "d._text", "w.items")
-    )
-    spoken = with_shingles(asked, "_text", WIDTH, "has").select("_key", F.array_distinct("has").alias("has"), "items")
-    pairs = spoken.select("_key", "has", F.explode("items").alias("item"))
+    windows = signature_values(window_signatures(dealt, WIDTH, BASE, classes), [*KEYS, "class"])
+    candidates = windows.join(values, ["class", "value"]).select(*KEYS, "item")
+    asked = candidate_texts(dealt, candidates, "item")
+    spoken = with_shingles(asked, "_text", WIDTH, "has").select("_key", F.array_distinct("has").alias("has"), "_all")
+    pairs = spoken.select("_key", "has", F.explode_outer("_all").alias("item"))
     held = tests.select("item", "held")
     both = pairs.join(F.broadcast(held) if small else held, "item")
     share = F.size(F.array_intersect("held", "has")) / F.size("held")

@@ -21,7 +21,14 @@ from pyspark.sql import functions as F
 
 from gristmill.llm.columns import prepared, with_shingles
 from gristmill.llm.decontaminate import partition_of
-from gristmill.llm.windows import NAMES, set_signatures, window_signatures
+from gristmill.llm.windows import (
+    KEYS,
+    NAMES,
+    candidate_texts,
+    dealt_texts,
+    set_signatures,
+    window_signatures,
+)
 
 SEARCH_WIDTH, WIDTH, THRESHOLD, BASE = 3, 5, 0.8, 8
 
@@ -97,9 +104,8 @@ def find_licenses(
     """``key``, ``license``, ``containment`` for every document and template at the threshold."""
     spark = prepared(docs.sparkSession)
     bands = _bands(spark)
-    named = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_mark"), F.col(text).alias("_text"))
-    keys = ["_key", "_mark"]
-    windows = window_signatures(named, keys, "_text", SEARCH_WIDTH, BASE, sorted(bands))
+    dealt = dealt_texts(docs, text, key)
+    windows = window_signatures(dealt, SEARCH_WIDTH, BASE, sorted(bands))
     one_of = reduce(
         lambda a, b: a | b,
         [
@@ -112,16 +118,11 @@ def find_licenses(
         for c, rows in sorted(bands.items())
         for name, values in sorted(rows)
     ]
-    near = windows.where(one_of).select(*keys, F.array_compact(F.array(*hits)).alias("licenses"))
-    wanted = near.select(*keys, F.explode("licenses").alias("license")).distinct()
-    grouped = wanted.groupBy(*keys).agg(F.collect_set("license").alias("licenses"))
-    asked = (
-        named.alias("d")
-        .join(grouped.alias("w"), F.expr("d._key <=> w._key and d._mark <=> w._mark"))
-        .select("d._key", "d._text", "w.licenses")
-    )
-    spoken = with_shingles(asked, "_text", WIDTH, "has").select("_key", F.array_distinct("has").alias("has"), "licenses")
-    pairs = spoken.select("_key", "has", F.explode("licenses").alias("license"))
+    near = windows.where(one_of).select(*KEYS, F.array_compact(F.array(*hits)).alias("licenses"))
+    candidates = near.select(*KEYS, F.explode_outer("licenses").alias("license")).where("license is not null")
+    asked = candidate_texts(dealt, candidates, "license")
+    spoken = with_shingles(asked, "_text", WIDTH, "has").select("_key", F.array_distinct("has").alias("has"), "_all")
+    pairs = spoken.select("_key", "has", F.explode_outer("_all").alias("license"))
     both = pairs.join(F.broadcast(templates(spark).select("license", "held")), "license")
     share = F.size(F.array_intersect("held", "has")) / F.size("held")
     return both.select(F.col("_key").alias(key), "license", share.alias("containment")).where(

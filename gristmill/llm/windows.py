@@ -25,14 +25,39 @@ def minima(hash_: Column) -> list[Column]:
 NAMES = [f"m{i}" for i in range(HASHES)]
 
 
-def window_signatures(docs: DataFrame, keys: list[str], text: str, width: int, base: int, classes: list[int]) -> DataFrame:
-    """``keys``, ``class``, ``window`` and the minima of every window that has a shingle.
+#: The columns that identify a text: the key as text, a hash of the text, and the key itself.
+KEYS = ["_id", "_mark", "_key"]
 
-    ``docs`` must identify its texts by ``keys``. It is dealt out by them once; all later
-    grouping keeps that partitioning.
+
+def dealt_texts(docs: DataFrame, text: str, key: str) -> DataFrame:
+    """``KEYS`` and ``_text``, dealt out by id and mark.
+
+    Windows are grouped and candidates are joined on this partitioning, and all users of
+    the result take the same columns, so Spark shuffles the texts once and reads that
+    shuffle again for the verification.
     """
-    dealt = docs.select(*keys, text).repartition(*keys)
-    grams = with_shingles(dealt, text, width)
+    return docs.select(
+        F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("_id"),
+        F.xxhash64(text).alias("_mark"),
+        F.col(key).alias("_key"),
+        F.col(text).alias("_text"),
+    ).repartition("_id", "_mark")
+
+
+def candidate_texts(dealt: DataFrame, found: DataFrame, what: str) -> DataFrame:
+    """The texts of the candidates ``KEYS`` and ``what``, with all their ``what`` as an array."""
+    wanted = found.groupBy("_id", "_mark").agg(F.collect_set(what).alias("_all"))
+    names = {"_id": "_i", "_mark": "_m"}
+    wanted = wanted.withColumnsRenamed(names)
+    same = (F.col("_id") == F.col("_i")) & (F.col("_mark") == F.col("_m"))
+    return dealt.join(wanted.hint("shuffle_hash"), same).select(*KEYS, "_text", "_all")
+
+
+def window_signatures(dealt: DataFrame, width: int, base: int, classes: list[int]) -> DataFrame:
+    """``KEYS``, ``class``, ``window`` and the minima of every window that has a shingle, of
+    ``dealt_texts``; the grouping keeps their partitioning."""
+    keys = KEYS
+    grams = with_shingles(dealt, "_text", width)
     # The outer form: for the plain one Catalyst adds a filter on the array's size, which it
     # pushes below the column of word hashes, and the text is then split once per shingle.
     rows = grams.select(*keys, F.posexplode_outer("shingles").alias("pos", "h")).where("pos is not null")

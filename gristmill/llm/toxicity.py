@@ -1,13 +1,16 @@
 """Toxicity of texts: a learned lexicon, misspellings by automaton, and context windows.
 
 Fitting takes a bounded sample of labelled texts (``SAMPLE``, those with the smallest hash
-of their id). From it comes the lexicon: stems, that is beginnings of words, which occur in
-at least ``LEAST_TOXIC`` toxic texts and are ``LIFT`` times as frequent there as in clean
-ones. The stems form a trie, the shortest stem of a branch that does the job ends it.
+of their id). From it comes the lexicon: whole words which occur in at least ``LEAST_TOXIC``
+toxic texts and are ``LIFT`` times as frequent there as in clean ones, and beginnings of
+words that do so where no single word does (see ``choose_stems``). A word that begins with
+a stem of the lexicon matches it. The stems form a trie.
 
 Scoring walks the trie with a Levenshtein automaton: a state is the set of trie nodes with
 the errors so far, and reading a character moves all of them at once. A word matches a stem
-exactly or, for stems of ``FUZZY`` letters or more, with one edit inside the stem. States
+exactly or, for stems of ``FUZZY`` letters or more, with one edit inside the stem; a shorter
+stem with one edit must be the whole word. The edit may be at the first letter. A word with
+an edit that a clean text of the sample holds is an ordinary word and no match. States
 are built when first met and remembered, so a word usually costs a few dictionary lookups
 before its state is empty.
 
@@ -43,6 +46,8 @@ SHORTEST, LONGEST = 4, 12
 #: Stems a model has at most, the most toxic first.
 STEMS = 5_000
 FUZZY = 6
+#: Ends a whole word; no word holds it.
+END = "$"
 WINDOW = 6
 REMEMBERED = 300_000
 
@@ -60,14 +65,14 @@ FEATURES = 6
 class StemTrie:
     """Stems as a trie whose nodes are numbers; node 0 is the root."""
 
-    def __init__(self, stems: list[str]):
+    def __init__(self, stems: list[str], fuzzy: int = FUZZY):
         self.next: list[dict[str, int]] = [{}]
         self.fuzzy: list[bool] = [False]  # whether a stem below allows an edit
         self.ends: list[bool] = [False]
         for stem in stems:
             node = 0
             for char in stem:
-                self.fuzzy[node] = self.fuzzy[node] or len(stem) >= FUZZY
+                self.fuzzy[node] = self.fuzzy[node] or len(stem) >= fuzzy
                 if char not in self.next[node]:
                     self.next[node][char] = len(self.next)
                     self.next.append({})
@@ -75,18 +80,20 @@ class StemTrie:
                     self.ends.append(False)
                 node = self.next[node][char]
             self.ends[node] = True
-            self.fuzzy[node] = self.fuzzy[node] or len(stem) >= FUZZY
+            self.fuzzy[node] = self.fuzzy[node] or len(stem) >= fuzzy
 
 
 class StemAutomaton:
     """The Levenshtein automaton of distance one run over a stem trie, made lazily.
 
-    A state holds pairs (node, errors). The first letter of a word must be right. ``match``
-    gives the errors of the best stem that begins the word, or None.
+    A state holds pairs (node, errors). The first letter of a word must be right unless
+    ``anchored`` is false. ``match`` gives the errors of the best stem that begins the word,
+    or None.
     """
 
-    def __init__(self, trie: StemTrie):
+    def __init__(self, trie: StemTrie, anchored: bool = True):
         self.trie = trie
+        self.anchored = anchored
         self.states: list[frozenset[tuple[int, int]]] = [frozenset({(0, 0)})]
         self.numbers = {self.states[0]: 0}
         self.moves: dict[tuple[int, str], int] = {}
@@ -132,7 +139,7 @@ class StemAutomaton:
         for i, char in enumerate(word):
             after = self.moves.get((at, char))
             if after is None:
-                after = self._number(self._step(self.states[at], char, i == 0))
+                after = self._number(self._step(self.states[at], char, self.anchored and i == 0))
                 self.moves[at, char] = after
             at = after
             found = self.found[at]
@@ -149,15 +156,27 @@ class StemAutomaton:
 class Model:
     stems: list[str]
     weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
+    #: Words of clean texts that are one edit away from a stem.
+    plain: frozenset[str] = frozenset()
 
 
 class Reader:
     """Features of texts; what a word matches is remembered up to a bound."""
 
-    def __init__(self, stems: list[str]):
-        self.automaton = StemAutomaton(StemTrie(stems))
+    def __init__(self, stems: list[str], plain: frozenset[str] = frozenset()):
+        self.automaton = StemAutomaton(StemTrie(stems), anchored=False)
+        whole = [stem + END for stem in stems if len(stem) < FUZZY]
+        self.short = StemAutomaton(StemTrie(whole, SHORTEST), anchored=False)
+        self.plain = plain
         self.known: dict[str, int | None] = {}
 
+    def match(self, word: str) -> int | None:
+        """Errors of the best match of a word: 0, 1 or None."""
+        found = self.automaton.match(word)
+        if found is None:
+            found = self.short.match(word + END)
+        return None if found and word in self.plain else found
+
     def features(self, text: str | None) -> list[float]:
         """Open exact, open fuzzy, quoted and addressed matches, their share, any open match."""
         low = (text or "").lower()
@@ -170,7 +189,7 @@ class Reader:
             try:
                 found = known[word]
             except KeyError:
-                found = known[word] = self.automaton.match(word)
+                found = known[word] = self.match(word)
             if found is not None:
                 hits.append((at, found))
         if not hits:
@@ -193,7 +212,7 @@ class Reader:
             math.log1p(quoted),
             math.log1p(addressed),
             math.sqrt(share),
-            float(exact > 0),
+            float(exact + fuzzy > 0),
         ]
 
     @staticmethod
@@ -213,16 +232,27 @@ class Reader:
 
 
 def choose_stems(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> list[str]:
-    """Stems from (toxic, clean) text counts of word beginnings.
+    """Stems from (toxic, clean) text counts of word beginnings and of words (with ``END``).
 
-    A beginning that qualifies makes longer ones needless.
+    Words that qualify are stems. A beginning that qualifies is one if it neither begins
+    such a word nor goes on from one; it gives way to the longest with the same toxic count.
+    A stem that qualifies makes the longer ones needless.
     """
     good = {}
     for stem, (bad, fine) in counts.items():
         if bad >= LEAST_TOXIC and (bad / toxic) / ((fine + 0.5) / (clean + 1)) >= LIFT:
             good[stem] = bad
-    kept = [s for s in good if not any(s[:n] in good for n in range(SHORTEST, len(s)))]
-    return sorted(sorted(kept, key=lambda s: (-good[s], s))[:STEMS])
+    words = {s[: -len(END)]: n for s, n in good.items() if s.endswith(END)}
+    begun = {w[:n] for w in words for n in range(SHORTEST, len(w) + 1)}
+    rest = {
+        s: n
+        for s, n in good.items()
+        if not s.endswith(END) and s not in begun and not any(s[:k] in words for k in range(SHORTEST, len(s)))
+    }
+    longer = {s[:-1] for s, n in rest.items() if rest.get(s[:-1]) == n}
+    stems = words | {s: n for s, n in rest.items() if s not in longer}
+    kept = [s for s in stems if not any(s[:n] in stems for n in range(SHORTEST, len(s)))]
+    return sorted(sorted(kept, key=lambda s: (-stems[s], s))[:STEMS])
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -242,9 +272,9 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
 
 
 def _beginnings(sample: DataFrame, label: int, only: set[str] | None) -> dict[str, int]:
-    """In how many texts with this label each word beginning occurs; under "" their number.
+    """In how many texts with this label each word and word beginning occurs; under "" their number.
 
-    Without ``only``, beginnings in fewer than ``LEAST_TOXIC`` texts are left out.
+    Words have ``END`` behind them. Without ``only``, those in fewer than ``LEAST_TOXIC`` texts are left out.
     """
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
@@ -254,6 +284,7 @@ def _beginnings(sample: DataFrame, label: int, only: set[str] | None) -> dict[st
                 if y == label:
                     words = set(WORD.findall((value or "").lower()))
                     seen = {w[:n] for w in words for n in range(SHORTEST, min(len(w), LONGEST) + 1)}
+                    seen |= {w + END for w in words if SHORTEST <= len(w)}
                     found.update(seen if only is None else seen & only)
                     found[""] += 1
         yield {"stem": list(found), "n": list(found.values())}
@@ -284,8 +315,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         counts = {stem: (n, fine.get(stem, 0)) for stem, n in bad.items()}
         stems = choose_stems(counts, toxic, clean)
 
-        def measured(batches: Iterator[dict]) -> Iterator[dict]:
+        def ordinary(batches: Iterator[dict]) -> Iterator[dict]:
             reader = Reader(stems)
+            for batch in batches:
+                clean_texts = [t for y, t in zip(batch["_y"], batch["_text"], strict=True) if y == 0 and t]
+                words = set(WORD.findall(" ".join(clean_texts).lower()))
+                yield {"word": [w for w in words if reader.match(w)]}
+
+        plain = frozenset(r["word"] for r in map_arrow(sample, "word string", ordinary).distinct().collect())
+
+        def measured(batches: Iterator[dict]) -> Iterator[dict]:
+            reader = Reader(stems, plain)
             for batch in batches:
                 yield {"y": batch["_y"], "x": [reader.features(t) for t in batch["_text"]]}
 
@@ -293,15 +333,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     finally:
         sample.unpersist()
     x = np.array([r["x"] for r in seen])
-    return Model(stems, logistic(x, np.array([float(r["y"]) for r in seen])))
+    return Model(stems, logistic(x, np.array([float(r["y"]) for r in seen])), plain)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: ``key``, ``score`` and the six ``features``."""
-    stems, weights = model.stems, model.weights
+    stems, weights, plain = model.stems, model.weights, model.plain
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
-        reader = Reader(stems)
+        reader = Reader(stems, plain)
         for batch in batches:
             features = [reader.features(t) for t in batch["_text"]]
             z = np.array(features) @ weights[:-1] + weights[-1] if features else np.zeros(0)

@@ -96,3 +96,33 @@ def test_held_out_quality(spark):
     better = sum((b > f) + 0.5 * (b == f) for b in bad for f in fine)
     assert better / (len(bad) * len(fine)) > 0.93
     assert sum(f >= 0.5 for f in fine) <= 0.01 * len(fine)
+
+
+def test_a_fitted_model_finds_misspellings_and_spares_shared_beginnings(spark):
+    draw = random.Random(5)
+    plain = [f"{a}{b}{c}" for a in ("ba", "ne", "ri", "vo") for b in ("lan", "mer", "tos") for c in ("da", "ge", "ku")]
+    toxic = ["idiot", "worthless", "scum", "disgusting", "pathetic"]
+    rows, labels = [], []
+    for i in range(400):
+        words = draw.choices(plain, k=20)
+        if i % 4 == 0:
+            words[draw.randrange(20)] = toxic[i // 4 % 5]
+        elif i % 4 == 1:
+            words[draw.randrange(20)] = "slum"  # one edit from a toxic word, and ordinary
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(i % 4 == 0)))
+    model = tx.fit(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    )
+    assert model.stems == sorted(toxic)
+    bad = ["1diot", "w0rthless", "scvm", "dsgusting", "xathetic", "idiots", "scum"]
+    fine = ["idioma", "wording", "disguise", "pathology", "slum"]
+    asked = [(i, " ".join(draw.choices(plain, k=19) + [w])) for i, w in enumerate(bad + fine)]
+    out = tx.score(spark.createDataFrame(asked, "doc_id long, text string"), model).collect()
+    assert {(bad + fine)[r.doc_id] for r in out if r.score >= 0.5} == set(bad)
+
+
+def test_rare_forms_are_joined_to_their_longest_beginning():
+    counts = {"path": (9, 0), "pathe": (9, 0), "pathet": (9, 0), "pathetics": (4, 0), "lose": (8, 0), "loser": (7, 0)}
+    counts |= {"loser$": (7, 0), "loses": (1, 3)}
+    assert tx.choose_stems(counts, 20, 200) == ["loser", "pathet"]

@@ -51,6 +51,20 @@ def find_items(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``key``, ``item``, ``containment`` for every document and item at the threshold or above."""
+    found = _held_items(docs, items, text, key, item_text, item_key, threshold)
+    return found.select(F.col("_key").alias(key), "item", "containment")
+
+
+def _held_items(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str,
+    key: str,
+    item_text: str = "text",
+    item_key: str = "item_id",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``find_items`` with the ``KEYS`` of the document."""
     prepared(docs.sparkSession)
     tests = (
         with_shingles(items.select(F.col(item_key).alias("item"), F.col(item_text).alias("_t")), "_t", WIDTH, "held")
@@ -65,7 +79,7 @@ def find_items(
     classes = sorted(row["class"] for row in facts)
     if not classes:
         nothing = F.lit(None).cast(items.schema[item_key].dataType).alias("item")
-        return docs.where("false").select(F.col(key), nothing, F.lit(0.0).alias("containment"))
+        return dealt_texts(docs.where("false"), text, key).select(*KEYS, nothing, F.lit(0.0).alias("containment"))
     dealt = dealt_texts(docs, text, key)
     values = signature_values(set_signatures(tests, ["item", "class"], "held"), ["item", "class"])
     small = sum(row["count"] for row in facts) * 64 * 64 <= BROADCAST_BYTES
@@ -73,17 +87,21 @@ def find_items(
     windows = signature_values(window_signatures(dealt, WIDTH, BASE, classes), [*KEYS, "class"])
     candidates = windows.join(values, ["class", "value"]).select(*KEYS, "item")
     asked = candidate_texts(dealt, candidates, "item")
-    spoken = with_shingles(asked, "_text", WIDTH, "has").select("_key", F.array_distinct("has").alias("has"), "_all")
-    pairs = spoken.select("_key", "has", F.explode_outer("_all").alias("item"))
+    spoken = with_shingles(asked, "_text", WIDTH, "has").select(*KEYS, F.array_distinct("has").alias("has"), "_all")
+    pairs = spoken.select(*KEYS, "has", F.explode_outer("_all").alias("item"))
     held = tests.select("item", "held")
     both = pairs.join(F.broadcast(held) if small else held, "item")
     share = F.size(F.array_intersect("held", "has")) / F.size("held")
-    return both.select(F.col("_key").alias(key), "item", share.alias("containment")).where(
-        F.col("containment") >= threshold
-    )
+    return both.select(*KEYS, "item", share.alias("containment")).where(F.col("containment") >= threshold)
 
 
 def without_items(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents, all columns, that hold no item."""
-    ids = find_items(docs, items, text, key).select(F.col(key).alias("_found")).distinct()
-    return docs.join(ids, docs[key].eqNullSafe(ids["_found"]), "left_anti")
+    """The documents, all columns, that hold no item.
+
+    A document is its id and its text: other texts of the same id, or without one, stay.
+    """
+    found = _held_items(docs, items, text, key).select(F.col("_id").alias("__id"), F.col("_mark").alias("__mark"))
+    same = (F.coalesce(docs[key].cast("string"), F.lit("null")) == F.col("__id")) & (
+        F.xxhash64(docs[text]) == F.col("__mark")
+    )
+    return docs.join(found.distinct(), same, "left_anti")

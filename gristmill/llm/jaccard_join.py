@@ -230,11 +230,12 @@ def jaccard_join(
     """One row per input row: ``key``, ``class_id``, ``class_size`` (documents), ``n_links``
     (other sets at the threshold or above) and ``n_copies`` (other documents with this set)."""
     classes = _classes(docs, text, key, width, threshold)
-    return classes.drop("mark").withColumnRenamed("_key", key)
+    return classes.drop("mark", "names").withColumnRenamed("_key", key)
 
 
 def _classes(docs: DataFrame, text: str, key: str, width: int, threshold: float) -> DataFrame:
-    """The columns of ``jaccard_join`` with the id as ``_key``, and ``mark``, a hash of the text."""
+    """The columns of ``jaccard_join`` with the id as ``_key``, ``mark``, a hash of the text, and
+    ``names``: whether this id and text name the class (its smallest id, then its smallest mark)."""
     prepared(docs.sparkSession)
     depth = match_depth(threshold)
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(text).alias("mark"))
@@ -244,8 +245,10 @@ def _classes(docs: DataFrame, text: str, key: str, width: int, threshold: float)
     sets = full.groupBy("node").agg(
         F.first("sig").alias("sig"), F.first("size").alias("size"), F.min(F.struct("_key", "mark")).alias("one")
     )
-    distinct = full.select("node", "_key").distinct().groupBy("node").agg(
-        F.min("_key").alias("least"), F.count("*").alias("copies")
+    by_id = full.groupBy("node", "_key").agg(F.min("mark").alias("mark"))
+    first = F.struct(F.col("_key").isNull().alias("without"), "_key", "mark")
+    distinct = by_id.groupBy("node").agg(
+        F.min("_key").alias("least"), F.count("*").alias("copies"), F.min(first).alias("first")
     )
     tries = sets.select("node", F.explode("sig").alias("prefix"))
     least = tries.groupBy("prefix").agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1")
@@ -263,8 +266,11 @@ def _classes(docs: DataFrame, text: str, key: str, width: int, threshold: float)
         .join(counted.withColumnRenamed("u", "node"), "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
-    sized = labelled.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_node = labelled.join(sized, "root").select("node", "class_id", "class_size", "copies", "n_links")
+    sized = labelled.groupBy("root").agg(
+        F.min("least").alias("class_id"), F.sum("copies").alias("class_size"), F.min("first").alias("chief")
+    )
+    by_node = labelled.join(sized, "root").select("node", "class_id", "class_size", "copies", "n_links", "chief")
+    is_chief = F.col("_key").eqNullSafe(F.col("chief._key")) & (F.col("mark") == F.col("chief.mark"))
     return signed.join(by_node, "node", "left").select(
         "_key",
         "mark",
@@ -272,18 +278,20 @@ def _classes(docs: DataFrame, text: str, key: str, width: int, threshold: float)
         F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.greatest(F.coalesce(F.col("copies") - 1, F.lit(0)), F.lit(0)).cast("bigint").alias("n_copies"),
+        (F.col("node").isNull() | is_chief).alias("names"),
     )
 
 
 def one_of_each(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The documents, all columns, that name a class: one of each class stays.
 
-    Repeated rows of such a document become one. Documents without an id stay only where
-    their class has none with an id. The rows are dealt out once, for join and repeats alike.
+    It is the one with the smallest id, and of its texts in the class the one with the
+    smallest hash; a document without an id names a class only where none has an id.
+    Repeated rows of such a document become one. The rows are dealt out once, for join and repeats alike.
     """
     columns = docs.columns
     as_text = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
-    named = _classes(docs, text, key, WIDTH, THRESHOLD).where(F.col("_key").eqNullSafe(F.col("class_id")))
+    named = _classes(docs, text, key, WIDTH, THRESHOLD).where("names")
     kept = named.select(as_text(F.col("_key")).alias("__id"), F.col("mark").alias("__mark")).distinct()
     marked = docs.withColumn("__id", as_text(F.col(key))).withColumn("__mark", F.xxhash64(text))
     left = marked.join(kept, ["__id", "__mark"], "left_semi")

@@ -65,6 +65,16 @@ def test_large_items_are_shuffled_with_the_same_result(spark, monkeypatch):
     assert got == brute(docs[:12], items)
 
 
+def test_clean_documents_without_or_with_a_repeated_id_stay(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    clean = [" ".join(f"c{i}x{j}" for j in range(20)) for i in range(4)]
+    rows = [(None, f"a b c {item}"), (None, clean[0]), (None, clean[1]), (7, item), (7, clean[2]), (8, clean[3]), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    kept = [tuple(r) for r in decontaminate.without_items(docs, items).collect()]
+    assert sorted(kept, key=str) == sorted([r for r in rows if item not in (r[1] or "")], key=str)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")

@@ -91,6 +91,15 @@ def test_repeats_nulls_and_empty_tables(spark):
     assert jj.jaccard_join(docs.where("false")).count() == 0
 
 
+def test_one_of_each_class_without_or_with_a_repeated_id(spark):
+    words = [f"v{i}" for i in range(80)]
+    near = lambda p, i: " ".join([f"{p}{w}" for w in words] + [f"end{i}"])
+    rows = [(None, near("a", i)) for i in range(3)] + [(5, near("b", i)) for i in range(3)]
+    rows += [(5, near("c", 0)), (6, near("c", 1)), (None, near("c", 2)), (None, near("d", 0)), (None, near("d", 0))]
+    kept = jj.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text[0]) for r in kept) == [(0, "a"), (0, "d"), (5, "b"), (5, "c")]
+
+
 def test_depth_shortens_to_the_recall():
     assert jj.match_depth(0.8, 32, 8, 0.9999) == 6
     assert jj.match_depth(0.95, 32, 8, 0.9999) == 8

@@ -63,6 +63,23 @@ def _cells(rows: DataFrame, bits: int) -> DataFrame:
 
 def assign_shards(docs: DataFrame, limit: int, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per input row: ``key``, ``shard`` (prefix bits as text), ``depth``, ``page``, ``n_bytes``."""
+    return _paged(_hashed(docs, limit, text, key), limit).select(
+        F.col("_key").alias(key),
+        _shard().alias("shard"),
+        F.col("depth").cast("int").alias("depth"),
+        F.col("page"),
+        F.col("size").alias("n_bytes"),
+    )
+
+
+def _shard() -> Column:
+    """The ``depth`` leading bits of the hash as text."""
+    bits = F.lpad(F.bin(F.expr(f"shiftright(hash, {BITS} - depth)")), F.col("depth"), F.lit("0"))
+    return F.when(F.col("depth") == 0, F.lit("")).otherwise(bits)
+
+
+def _hashed(docs: DataFrame, limit: int, text: str, key: str) -> DataFrame:
+    """``_key``, ``hash``, ``size`` and the ``depth`` of its shard for every row."""
     prepared(docs.sparkSession)
     rows = docs.select(
         F.col(key).alias("_key"),
@@ -77,28 +94,20 @@ def assign_shards(docs: DataFrame, limit: int, text: str = "text", key: str = "d
     open_rows = placed.where("depth is null").select("_key", "hash", "size")
     finer = _leaves(_cells(open_rows, BITS), bits + 1, BITS, limit)
     rest = open_rows.withColumn("cell", F.col("hash")).join(finer, "cell", "left")
-    found = placed.where("depth is not null").unionByName(rest)
-    return _paged(found, limit).select(
-        F.col("_key").alias(key),
-        F.when(F.col("depth") == 0, F.lit(""))
-        .otherwise(F.lpad(F.bin(F.expr(f"shiftright(hash, {BITS} - depth)")), F.col("depth"), F.lit("0")))
-        .alias("shard"),
-        F.col("depth").cast("int").alias("depth"),
-        F.col("page"),
-        F.col("size").alias("n_bytes"),
-    )
+    return placed.where("depth is not null").unionByName(rest)
 
 
 def _paged(found: DataFrame, limit: int) -> DataFrame:
-    """Numbers the pages of exact repeats that overflow their bucket.
+    """Adds ``page``, which numbers the pages of exact repeats that overflow their bucket.
 
     Repeats are numbered per input partition first and shifted by the counts of earlier
     partitions, so that a row repeated very often is not numbered in one task.
     """
     one = found.groupBy("hash").agg(F.count("*").alias("n"), F.max("size").alias("each"))
     over = one.where((F.col("n") > 1) & (F.col("n") * F.col("each") > limit)).select("hash", "each")
+    columns = found.columns
     marked = found.join(over, "hash", "left")
-    whole = marked.where("each is null").select("_key", "hash", "size", "depth", F.lit(0).cast("bigint").alias("page"))
+    whole = marked.where("each is null").select(*columns, F.lit(0).cast("bigint").alias("page"))
     many = marked.where("each is not null").withColumn("pos", F.monotonically_increasing_id()).checkpoint()
     many = many.withColumn("part", F.shiftright("pos", 33))
     before = Window.partitionBy("hash").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -110,15 +119,23 @@ def _paged(found: DataFrame, limit: int) -> DataFrame:
     number = F.row_number().over(Window.partitionBy("hash", "part").orderBy("pos")) - 1 + F.col("shift")
     fits = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.greatest(F.col("each"), F.lit(1))))
     pages = many.join(shift, ["hash", "part"]).select(
-        "_key", "hash", "size", "depth", F.floor(number / fits).cast("bigint").alias("page")
+        *columns, F.floor(number / fits).cast("bigint").alias("page")
     )
     return whole.unionByName(pages)
 
 
 def write_shards(docs: DataFrame, limit: int, path: str, text: str = "text", key: str = "doc_id") -> None:
-    """Write the rows as Parquet, one folder per shard and page (``shard=…/page=…``)."""
-    placed = assign_shards(docs, limit, text, key).select(F.col(key).alias("_key"), "shard", "page").distinct()
-    joined = docs.join(placed, docs[key].eqNullSafe(placed["_key"])).drop("_key")
-    joined.withColumn("shard", F.concat(F.lit("b"), "shard")).repartition("shard", "page").write.partitionBy(
+    """Write the rows as Parquet, one folder per shard and page (``shard=…/page=…``).
+
+    A row's hash gives its shard; repeats are numbered among the rows that are written.
+    """
+    depths = _hashed(docs, limit, text, key).select("hash", "depth").distinct()
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"),
+        row_hash(F.col(key), F.col(text)).alias("hash"),
+        F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint").alias("size"),
+    )
+    paged = _paged(rows.join(depths, "hash"), limit)
+    paged.select("_row.*", _shard().alias("shard"), "page").withColumn("shard", F.concat(F.lit("b"), "shard")).repartition("shard", "page").write.partitionBy(
         "shard", "page"
     ).parquet(path)

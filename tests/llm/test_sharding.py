@@ -40,3 +40,17 @@ def test_empty_and_single(spark, tmp_path):
     assert {(r.shard, r.depth) for r in sharding.assign_shards(one, 10).collect()} == {("", 0)}
     sharding.write_shards(one, 3, f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out").select("doc_id", "text", "extra").count() == 2
+
+
+def test_written_rows_are_the_rows_given(spark, tmp_path):
+    rows = [(None, f"n{i:03}" * 8) for i in range(60)] + [(7, f"r{i:03}" * 8) for i in range(20)]
+    rows += [(9, "z" * 30)] * 50 + [(i, "é" * 9) for i in range(100, 130)] + [(None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, hash string")
+    sharding.write_shards(docs, 300, f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert Counter((r.doc_id, r.text) for r in out) == Counter(rows)
+    total = Counter()
+    for r in out:
+        total[r.shard, r.page] += len((r.text or "").encode())
+    assert max(total.values()) <= 300
+    assert len({r.page for r in out if r.doc_id == 9}) == 5

@@ -2,14 +2,21 @@
 
 Items and documents become hashed shingles of five words. Items are partitioned by the
 number of their shingles; partition ``c`` holds those with up to ``BASE · 2^c`` (and more
-than half of that). For every partition the documents are cut into windows of twice the
-partition's size (see ``windows``), so that an item has at least a fifth of the shingles of
-the window it lies in, however long the document. A window that shares one of 64 MinHash
-values with an item of its partition is a candidate; at a fifth the chance to miss is 7e-7.
+than half of that, so more than ``SHORT``). For every partition the documents are cut into
+windows of twice the partition's size (see ``windows``). A window that shares one of 64
+MinHash values with an item of its partition is a candidate. One that holds a whole item has
+a Jaccard similarity of a quarter or more with it, however long the document, and is missed
+with a chance of 1e-8; one that holds 80 % of it has 0.19 or more, with a chance of 1.4e-6.
+
+Items of up to ``SHORT`` shingles are too small for a window: they are found exactly, by
+the shingles themselves. A document that holds an item up to the threshold lacks few of its
+shingles, so it has one of any few more than those; the ones that the fewest items share are
+looked up.
 
 Every candidate document is then verified exactly: the share of the item's distinct
 shingles that the document holds must be ``THRESHOLD`` or more. All of this is DataFrame
-operations; texts are shuffled once by document, windows not at all.
+operations; texts are shuffled once by document, windows not at all. More short items than
+may be broadcast cost a shuffle of the documents' shingles.
 
 Items with fewer than five words have no shingle and are never found; the same holds for
 such documents, and for null and empty texts. Repeated documents give repeated rows;
@@ -18,7 +25,9 @@ repeated items with one id count once.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gristmill.llm.columns import prepared, with_shingles
@@ -32,6 +41,8 @@ from gristmill.llm.windows import (
 )
 
 WIDTH, THRESHOLD, BASE = 5, 0.8, 32
+#: Shingles of an item up to which it is looked up exactly; half of ``BASE``.
+SHORT = BASE // 2
 #: Bytes of benchmark signatures that may be sent to every task; larger ones are shuffled.
 BROADCAST_BYTES = 32 << 20
 
@@ -41,6 +52,17 @@ def partition_of(size: Column, base: int = BASE) -> Column:
     return F.greatest(F.lit(0), F.ceil(F.log2(size / base))).cast("int")
 
 
+def _probes(short: DataFrame, threshold: float) -> DataFrame:
+    """``h`` and ``item``: of each item so many shingles that a document at the threshold has
+    one of them, those that the fewest items have."""
+    lacking = F.floor(F.size("held") * (1 - threshold) + 1e-9)
+    each = short.select("item", lacking.alias("lacking"), F.explode("held").alias("h"))
+    shared = each.groupBy("h").agg(F.count("*").alias("n"))
+    rarest = Window.partitionBy("item").orderBy("n", "h")
+    ranked = each.join(shared, "h").withColumn("rank", F.row_number().over(rarest))
+    return ranked.where(F.col("rank") <= F.col("lacking") + 1).select("h", "item")
+
+
 def find_items(
     docs: DataFrame,
     items: DataFrame,
@@ -75,17 +97,26 @@ def _held_items(
         .withColumn("class", partition_of(F.size("held")))
     )
     # Partitions grow by powers of two, so there are few of them.
-    facts = tests.groupBy("class").count().collect()
-    classes = sorted(row["class"] for row in facts)
-    if not classes:
+    is_short = F.size("held") <= SHORT
+    facts = tests.groupBy("class", is_short.alias("short")).count().collect()
+    classes = sorted({row["class"] for row in facts if not row["short"]})
+    if not facts:
         nothing = F.lit(None).cast(items.schema[item_key].dataType).alias("item")
         return dealt_texts(docs.where("false"), text, key).select(*KEYS, nothing, F.lit(0.0).alias("containment"))
     dealt = dealt_texts(docs, text, key)
-    values = signature_values(set_signatures(tests, ["item", "class"], "held"), ["item", "class"])
     small = sum(row["count"] for row in facts) * 64 * 64 <= BROADCAST_BYTES
-    values = F.broadcast(values) if small else values
-    windows = signature_values(window_signatures(dealt, WIDTH, BASE, classes), [*KEYS, "class"])
-    candidates = windows.join(values, ["class", "value"]).select(*KEYS, "item")
+    ways = []
+    if classes:
+        values = signature_values(set_signatures(tests.where(~is_short), ["item", "class"], "held"), ["item", "class"])
+        values = F.broadcast(values) if small else values
+        windows = signature_values(window_signatures(dealt, WIDTH, BASE, classes), [*KEYS, "class"])
+        ways.append(windows.join(values, ["class", "value"]).select(*KEYS, "item"))
+    if any(row["short"] for row in facts):
+        probes = _probes(tests.where(is_short), threshold)
+        probes = F.broadcast(probes) if small else probes
+        grams = with_shingles(dealt, "_text", WIDTH).select(*KEYS, F.explode_outer("shingles").alias("h"))
+        ways.append(grams.join(probes, "h").select(*KEYS, "item"))
+    candidates = reduce(DataFrame.unionByName, ways)
     asked = candidate_texts(dealt, candidates, "item")
     spoken = with_shingles(asked, "_text", WIDTH, "has").select(*KEYS, F.array_distinct("has").alias("has"), "_all")
     pairs = spoken.select(*KEYS, "has", F.explode_outer("_all").alias("item"))

@@ -65,6 +65,24 @@ def test_large_items_are_shuffled_with_the_same_result(spark, monkeypatch):
     assert got == brute(docs[:12], items)
 
 
+def test_short_items_in_long_documents(spark):
+    draw = random.Random(6)
+    some = lambda n: [f"w{draw.randrange(5000)}" for _ in range(n)]
+    items = {i: " ".join(some(5 + i % 6)) for i in range(60)} | {60: " ".join(some(20)), 61: " ".join(some(21))}
+    docs = []
+    for d in range(3):
+        words = some(200)
+        for i in range(62):
+            words += items[i].split() + some(70)
+        docs.append((d, " ".join(words)))
+    broken = items[60].split()  # 12 of 16 shingles: below the threshold; 13 of 16: above
+    docs += [(3, " ".join(some(900) + broken[:16] + some(90))), (4, " ".join(some(900) + broken[:17] + some(90)))]
+    asked = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r.doc_id, r.item): r.containment for r in decontaminate.find_items(asked, tests).collect()}
+    assert got == brute(docs, items) and len(got) >= 3 * 62 + 1
+
+
 def test_clean_documents_without_or_with_a_repeated_id_stay(spark):
     item = " ".join(f"w{i}" for i in range(20))
     clean = [" ".join(f"c{i}x{j}" for j in range(20)) for i in range(4)]

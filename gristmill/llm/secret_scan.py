@@ -7,7 +7,11 @@ The added kind ``guess`` looks at values behind a credential word. A dynamic pro
 cuts the value into words, dates, repeats, keyboard walks and brute-force stretches so that
 the number of guesses, in bits, is smallest. A value of ``MIN_BITS`` or more that no base
 span touches is a secret. The programme looks back ``WINDOW`` characters at most, so a very
-long value costs time in proportion to its length.
+long value costs time in proportion to its length. Words cost by their rank among the words
+of all documents (``ranked_words``) and among a few of passwords. Values behind credential
+words, and words that one text alone holds (with its copies), are not counted there, so a
+secret does not make itself a cheap word. A rare word of ten letters or more costs as much
+as any other ten letters.
 
 Null and empty texts have no span. Repeated rows give repeated rows.
 """
@@ -17,9 +21,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +59,9 @@ WORDS = (
     " the and you for your none null true false undefined required optional string value placeholder"
 ).split()
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
-LONGEST_WORD = max(map(len, WORDS))
+#: Words of the documents that are ranked at most; whole groups of equally frequent ones.
+RANKED = 50_000
+LETTERS = re.compile(r"[^\W\d_]{3,}")
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4@3150$7!", "aaeisost" + "i")
 DATES = re.compile(
@@ -84,7 +91,7 @@ def brute_bits(char: str) -> float:
     return math.log2(33) if ord(char) < 128 else math.log2(1000)
 
 
-def guess_bits(value: str) -> float:
+def guess_bits(value: str, rank_of: Mapping[str, int] = RANK) -> float:
     """The least cost, in bits, of guessing a value piece by piece; each piece costs one more."""
     low = value.lower()
     plain = low.translate(LEET)
@@ -115,12 +122,12 @@ def guess_bits(value: str) -> float:
         for start in dates.get(end, ()):
             bits = math.log2(119) if end - start == 4 else math.log2(119 * 365)
             cost[end] = min(cost[end], cost[start] + bits + 1)
-        for length in range(3, min(LONGEST_WORD, end) + 1):
+        for length in range(3, min(WINDOW, end) + 1):
             start = end - length
-            rank = RANK.get(low[start:end])
+            rank = rank_of.get(low[start:end])
             extra = 1.0
             if rank is None:
-                rank, extra = RANK.get(plain[start:end]), 2.0
+                rank, extra = rank_of.get(plain[start:end]), 2.0
             if rank:
                 if value[start:end] != low[start:end]:
                     extra += 1
@@ -139,7 +146,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def guess_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def guess_spans(
+    text: str, base: list[tuple[int, int, int]], rank_of: Mapping[str, int] = RANK
+) -> list[tuple[int, int, int]]:
     """Costly values behind credential words that touch no base span."""
     spans = []
     for m in CONTEXT.finditer(text):
@@ -147,21 +156,19 @@ def guess_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
         start, end = m.span(group)
         if any(s < end and start < e for s, _, e in base):
             continue
-        value = m[group]
-        kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-        if kinds >= 2 and guess_bits(value) >= MIN_BITS:
+        if guess_bits(m[group], rank_of) >= MIN_BITS:
             spans.append((start, 3, end))
     return spans
 
 
-def find_spans(text: str | None) -> list[tuple[int, int, int]]:
+def find_spans(text: str | None, rank_of: Mapping[str, int] = RANK) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind number, end), in order."""
     if not text:
         return []
     low = text.lower()
     if any(stem in low for stem in STEMS):
         base = base_spans(text)
-        return sorted(base + guess_spans(text, base))
+        return sorted(base + guess_spans(text, base, rank_of))
     spans = [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     if "AKIA" in text:
         spans += [
@@ -186,13 +193,54 @@ def redact(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
     return "".join(parts) + text[at:]
 
 
+def common_words(text: str) -> set[str]:
+    """Lower-case words of a text, without the values behind credential words."""
+    low = text.lower()
+    if any(stem in low for stem in STEMS):
+        low = ASSIGN.sub(" ", CONTEXT.sub(" ", text)).lower()
+    return {w for w in LETTERS.findall(low) if len(w) <= WINDOW}
+
+
+def ranked_words(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """Ranks of the words that the most texts hold, two different texts at least, and of ``WORDS``."""
+
+    def rows(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            found: dict[str, list[int]] = {}
+            for value in batch["_text"]:
+                if not value:
+                    continue
+                mark = xxhash.xxh64_intdigest(value) >> 1
+                for word in common_words(value):
+                    seen = found.setdefault(word, [0, mark, mark])
+                    seen[0] += 1
+                    seen[1], seen[2] = min(seen[1], mark), max(seen[2], mark)
+            columns = list(zip(*found.values(), strict=True)) or [(), (), ()]
+            yield {"word": list(found)} | dict(zip(("n", "low", "high"), map(list, columns), strict=True))
+
+    each = map_arrow(docs.select(F.col(text).alias("_text")), "word string, n bigint, low bigint, high bigint", rows)
+    sums = each.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    counts = sums.where("low <> high").select("word", "n").checkpoint()
+    least, total = 0, 0
+    # One row per frequency, so the driver sees few; the words themselves are bounded.
+    for row in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
+        total += row["words"]
+        if total > RANKED:
+            break
+        least = row["n"]
+    words = counts.where(F.col("n") >= least).collect() if least else []
+    ranks = {r["word"]: i + 1 for i, r in enumerate(sorted(words, key=lambda r: (-r["n"], r["word"])))}
+    return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in RANK.items()}
+
+
 def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", clean: bool = False) -> DataFrame:
     """One row per input row: ``key``, ``found`` (array of kind, start, end; code points, end
     exclusive) and, if ``clean``, ``clean_text``."""
+    ranks = ranked_words(docs, text)
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            spans = [find_spans(t) for t in batch["_text"]]
+            spans = [find_spans(t, ranks) for t in batch["_text"]]
             out = {"_key": batch["_key"]}
             out["found"] = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in x] for x in spans]
             if clean:
@@ -207,9 +255,10 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", clean
 
 def redact_column(docs: DataFrame, text: str = "text") -> DataFrame:
     """The same rows and columns, with the secrets in ``text`` replaced."""
+    ranks = ranked_words(docs, text)
 
     def cleaned(values: pd.Series) -> pd.Series:
-        return values.map(lambda t: redact(t, find_spans(t)))
+        return values.map(lambda t: redact(t, find_spans(t, ranks)))
 
     return docs.withColumn(text, F.pandas_udf(cleaned, "string")(F.col(text)))
 

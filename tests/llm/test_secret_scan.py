@@ -82,6 +82,31 @@ def test_added_spans_are_costly_credential_values():
     assert s.find_spans("the secret of the thing is told") == []
 
 
+ONE_CLASS = ("pwd=qzxvkjwmtrplbnhgfd", "auth: 938470562958360", "password: qzxvkjwmtrp")
+
+
+def test_costly_values_of_one_character_class():
+    for text in ONE_CLASS:
+        (span,) = [x for x in s.find_spans(text) if x[1] == 3]
+        assert s.redact(text, [span]).endswith(("=[REDACTED]", ": [REDACTED]"))
+    for text in ("login: 12345678", "pwd=qwertyuiop", "auth: passwordpassword", "login: 1999-12-31"):
+        assert s.find_spans(text) == [], text
+
+
+def test_words_of_the_documents_are_cheap_and_repeated_secrets_are_not(spark):
+    text = "auth: implementation"
+    assert [x[1] for x in s.find_spans(text)] == [3]
+    rows = [(i, f"the implementation number {i} of it") for i in range(4)] + [(10, text), (11, None), (12, "")]
+    rows += [(20 + i, f"{ONE_CLASS[0]} again {i}") for i in range(6)] + [(40 + i, "copy zqjxkvwpyfmb") for i in range(6)]
+    rows += [(50, "pwd=zqjxkvwpyfmb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: [x.kind for x in r.found] for r in s.scan_secrets(docs).collect()}
+    assert out[10] == [] and out[50] == ["guess"]
+    assert all(out[20 + i] == ["guess"] for i in range(6))
+    cleaned = {r.doc_id: r.text for r in s.redact_column(docs).collect()}
+    assert cleaned[10] == text and cleaned[20] == "pwd=[REDACTED] again 0"
+
+
 def test_query_on_rows(spark, tmp_path):
     rows = [(i, t, "spans") for i, t in enumerate(TEXTS)] + [(None, None, None), (1, TEXTS[1], "again")]
     spark.createDataFrame(rows, "doc_id long, text string, spans string").write.parquet(f"{tmp_path}/documents.parquet")

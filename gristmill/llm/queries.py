@@ -107,7 +107,7 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = pieces.read_model(pieces.default_path())
-    return sentencepieces.encode_documents(table(spark, folder, "documents"), model, keep_ids=False)
+    return sentencepieces.encode_documents(table(spark, folder, "documents"), model)
 
 
 @query()

@@ -97,3 +97,12 @@ def test_columns_nulls_and_clashing_names(spark):
     empty = docs.where("false")
     assert token_counts.token_counts(empty, MODEL).count() == 0
     assert sentencepieces.encode_documents(empty, MODEL).count() == 0
+
+
+def test_query_returns_the_ids(spark, tmp_path):
+    from gristmill.llm.queries import LLM_QUERIES
+
+    spark.createDataFrame([(1, "some words"), (2, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in LLM_QUERIES["op5_sentencepiece"].run(spark, str(tmp_path)).collect()}
+    vocabulary = pieces.vocabulary(pieces.read_model(pieces.default_path()))
+    assert out[1].ids == list(sentencepieces.encode(vocabulary, "some words")) and out[1].n_ids == len(out[1].ids)

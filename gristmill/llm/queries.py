@@ -15,6 +15,7 @@ from gristmill.llm import (
     secret_scan,
     sentencepieces,
     sharding,
+    substring_dedup,
     token_counts,
     toxicity,
 )
@@ -209,3 +210,27 @@ SELECT doc_id, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(h >> (60 - depth)), dep
 @query(OP10_SQL)
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign_shards(table(spark, folder, "documents"), SHARD_BYTES)
+
+
+OP11_SQL = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+    SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35
+), windows AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(w[i:i + 34], ' ')) AS n FROM starts
+), gone AS (
+    SELECT doc_id, list(DISTINCT j) AS js
+    FROM (SELECT doc_id, unnest(range(i, i + 35)) AS j FROM windows WHERE n > 1) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+    sha256(array_to_string(CASE WHEN js IS NULL THEN w
+        ELSE list_transform(list_filter(range(1, len(w) + 1), lambda j: NOT list_contains(js, j)), lambda j: w[j]) END,
+        ' ')) AS kept_sha256
+FROM words LEFT JOIN gone USING (doc_id)
+"""
+
+
+@query(OP11_SQL)
+def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, folder, "documents"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
+    collocations,
     decontaminate,
     jaccard_join,
     language_id,
@@ -234,3 +235,44 @@ FROM words LEFT JOIN gone USING (doc_id)
 @query(OP11_SQL)
 def op11_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT lang, regexp_extract_all(x, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS x FROM documents)
+), grams AS (
+    SELECT lang, k, array_to_string(g, ' ') AS phrase, count(*) AS c, any_value(g) AS g FROM (
+        SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g
+        FROM pieces, (VALUES (1), (2), (3)) v(k) WHERE len(w) >= k)
+    GROUP BY lang, k, g
+), totals AS (SELECT lang, sum(c)::BIGINT AS n FROM grams WHERE k = 1 GROUP BY lang
+), candidates AS (SELECT * FROM grams WHERE k >= 2 AND c >= 10
+), parts AS (
+    SELECT *, array_to_string(g[1:j], ' ') AS first, array_to_string(g[j + 1:k], ' ') AS rest
+    FROM candidates, (VALUES (1), (2)) v(j) WHERE j < k
+), cuts AS (
+    SELECT p.lang, p.phrase, p.k, p.c AS a, j, f.c AS l, r.c AS r,
+        (1000000::HUGEINT * p.c * p.c) // (f.c::HUGEINT * r.c) AS score
+    FROM parts p JOIN grams f ON f.lang = p.lang AND f.phrase = p.first
+    JOIN grams r ON r.lang = p.lang AND r.phrase = p.rest
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, k, phrase ORDER BY score, j) = 1
+), inside AS (
+    SELECT lang, phrase, max(c) AS around FROM (
+        SELECT lang, c, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS phrase
+        FROM candidates WHERE k = 3) GROUP BY lang, phrase
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, n, score::BIGINT AS score
+FROM scored JOIN totals USING (lang) LEFT JOIN inside USING (lang, phrase)
+WHERE around IS NULL OR 100 * around < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query(OP12_SQL)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))

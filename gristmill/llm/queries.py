@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gristmill.llm import (
+    alignment,
     collocations,
     decontaminate,
     jaccard_join,
@@ -276,3 +277,13 @@ QUALIFY rank <= 2000
 @query(OP12_SQL)
 def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query()
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = alignment.read_files(
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return alignment.align_documents(table(spark, folder, "documents"), *files, public_tokenizers.PATTERN)

@@ -64,6 +64,7 @@ class Words:
     """The words of the texts of a chunk, in one row of bytes."""
 
     data: np.ndarray
+    letters: np.ndarray
     start: np.ndarray
     end: np.ndarray
     text: np.ndarray
@@ -78,7 +79,7 @@ class Words:
         inside = np.zeros(len(data) + 1, dtype=bool)
         is_word = np.ones(256, dtype=bool)
         is_word[list(SEPARATORS)] = False
-        inside[1:] = is_word[data]
+        inside[1:] = is_word.take(data)
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         start, end = edges[::2], edges[1::2]
         lengths = np.array([len((t or "").encode()) for t in texts], dtype=np.int64)
@@ -86,7 +87,7 @@ class Words:
         text = np.searchsorted(begins, start, side="right") - 1
         count = np.bincount(text, minlength=len(texts)) if len(texts) else np.zeros(0, dtype=np.int64)
         first = np.cumsum(count) - count
-        return cls(data, start, end, text, np.arange(len(start)) - first[text], first, count)
+        return cls(data, data[inside[1:]], start, end, text, np.arange(len(start)) - first[text], first, count)
 
     def hashes(self, which: int) -> np.ndarray:
         """One 64-bit hash per word."""
@@ -94,11 +95,14 @@ class Words:
             return np.zeros(0, dtype=np.uint64)
         values, factor = _tables()[which], _tables()[2]
         lengths = self.end - self.start
-        at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        source = at + np.repeat(self.start, lengths)
-        far = (at // REACH).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-        terms = values[self.data[source]] * factor[at % REACH] * far
-        sums = np.add.reduceat(terms, np.cumsum(lengths) - lengths)
+        offset = np.cumsum(lengths) - lengths
+        at = np.arange(lengths.sum(), dtype=np.int32) - np.repeat(offset.astype(np.int32), lengths)
+        terms = values.take(self.letters)
+        if lengths.max() > REACH:
+            terms *= (at // REACH).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+            at %= REACH
+        terms *= factor.take(at)
+        sums = np.add.reduceat(terms, offset)
         return mixed(sums + lengths.astype(np.uint64) * factor[1])
 
     def rolling(self, hashes: np.ndarray, width: int) -> np.ndarray:
@@ -131,10 +135,16 @@ def at_most_twice(*keys: np.ndarray) -> np.ndarray:
     return order[np.concatenate([[True, True], ~third])]
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The values once each, sorted."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 def by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The buckets that occur in a sorted array and where each starts, with the end."""
-    found, start = np.unique(bucket, return_index=True)
-    return found, np.append(start, len(bucket))
+    start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, dtype=np.int64)
+    return bucket[start], np.append(start, len(bucket))
 
 
 def _split(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +175,7 @@ def probe_rows(table: pa.Table, width: int, buckets: int) -> pa.Table:
     keys = anchors.keys()
     blocks = keys[anchors.block]
     blocks = blocks[at_most_twice(blocks)]
-    probes = np.unique(keys)
+    probes = distinct(keys)
     names, starts = by_bucket(probes >> np.uint64(32))
     cuts = np.searchsorted(blocks, np.append(names, buckets).astype(np.uint64) << np.uint64(32))
     blocks, probes = blocks.astype(np.uint32), probes.astype(np.uint32)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators import rules
+
 # The columns of a flight and those used as features.
 FLIGHT_COLUMNS = (
     "Year",
@@ -30,13 +34,16 @@ FLIGHT_COLUMNS = (
 )
 CATEGORIES = ("UniqueCarrier", "Origin", "Dest")
 FEATURES = FLIGHT_COLUMNS[:11]
+#: Thresholds a tree tries per feature, and one: every value is told apart up to that many.
+BINS = 64
 
 
-def delay_rows(flights: DataFrame, partitions: int | None = None) -> DataFrame:
+def delay_rows(flights: DataFrame, partitions: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Flown rows with a readable delay, the label and typed numbers. Numbers given
-    as text are read leniently; an unreadable delay drops the row."""
+    as text are read leniently; an unreadable delay drops the row. ``keep`` names columns
+    that stay beside those of a flight."""
     rows = (
-        flights.select(*FLIGHT_COLUMNS)
+        flights.select(*keep, *FLIGHT_COLUMNS)
         .withColumn("ArrDelay", F.col("ArrDelay").try_cast("double"))
         .where((F.col("Cancelled") == 0) & F.col("ArrDelay").isNotNull())
         .withColumn("label", F.when(F.col("ArrDelay") > 0, 1.0).otherwise(0.0))
@@ -73,20 +80,48 @@ def _prepared(train: DataFrame, test: DataFrame):
     return *ready, most
 
 
-def _fit(estimator, rows: DataFrame):
+def _fit(estimator, rows: DataFrame, target: str = "label"):
     """Training reads its rows several times; keep them, on disk if need be."""
-    rows = rows.select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    rows = rows.select("features", target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return estimator.fit(rows)
     finally:
         rows.unpersist()
 
 
-def delay_logistic(train: DataFrame, test: DataFrame) -> DataFrame:
+def delay_logistic(train: DataFrame, test: DataFrame, tol: float = 1e-6, steps: int = 100) -> DataFrame:
     """Predictions for the test rows; everything is fitted on the train rows."""
+    return logistic_model(train, test, tol, steps)[0]
+
+
+def logistic_model(
+    train: DataFrame, test: DataFrame, tol: float = 1e-6, steps: int = 100
+) -> tuple[DataFrame, DataFrame, LogisticRegressionModel]:
+    """The predictions, the assembled train rows and the model. ``tol`` and ``steps`` end the fit."""
     fit_on, apply_to, _ = _prepared(train, test)
-    model = _fit(LogisticRegression(featuresCol="features", labelCol="label"), fit_on)
-    return model.transform(apply_to)
+    fit = LogisticRegression(featuresCol="features", labelCol="label", tol=tol, maxIter=steps)
+    model = _fit(fit, fit_on)
+    return model.transform(apply_to), fit_on, model
+
+
+def logistic_gradient(rows: DataFrame, model: LogisticRegressionModel) -> list[float]:
+    """The gradient of the mean log loss at the model, intercept first, each entry divided by the
+    feature's spread: 0 at the best fit. One aggregate over the assembled rows."""
+    margin = F.aggregate(
+        F.zip_with(F.col("x"), F.lit(model.coefficients.toArray().tolist()), lambda a, b: a * b),
+        F.lit(float(model.intercept)),
+        lambda s, v: s + v,
+    )
+    plain = rows.select("label", vector_to_array("features").alias("x"))
+    miss = 1 / (1 + F.exp(-margin)) - F.col("label")
+    out = plain.select("x", miss.alias("miss")).agg(
+        F.avg("miss"),
+        *[
+            F.try_divide(F.avg(F.get("x", i) * F.col("miss")), F.nullif(F.stddev_samp(F.get("x", i)), F.lit(0.0)))
+            for i in range(model.numFeatures)
+        ],
+    )
+    return [v or 0.0 for v in out.first()]
 
 
 def delay_forest(train: DataFrame, test: DataFrame, seed: int = 42) -> DataFrame:
@@ -122,6 +157,76 @@ def price_tree(
     return model.transform(assemble(test, features, "error"))
 
 
+def price_rules(
+    train: DataFrame,
+    test: DataFrame,
+    features: Sequence[str],
+    target: str,
+    depth: int = 5,
+    least: int = 1,
+) -> tuple[DataFrame, list[dict]]:
+    """Test rows with the ``leaf`` they fall into and its mean as ``prediction``, and the tree's
+    rules. Rows are scored by the rules, not by the model."""
+    tree = DecisionTreeRegressor(
+        labelCol=target, featuresCol="features", maxDepth=depth, minInstancesPerNode=least, maxBins=BINS
+    )
+    found = rules.rule_rows(rules.saved_nodes(_fit(tree, assemble(train, features, "error"), target)), features)
+    leaf = rules.with_leaves(test, found, "_leaves")
+    value = F.get(rules.values_of(found, F.col("_leaves")), 0)
+    return leaf.withColumn("leaf", F.get("_leaves", 0)).withColumn("prediction", value).drop("_leaves"), found
+
+
+def in_bag(tree: int, key: Sequence[str], seed: int = 42) -> Column:
+    """Whether a tree is fitted on a row: ten of sixteen rows, by a digest of tree and key."""
+    text = F.concat_ws(":", F.lit(f"{seed}:{tree}"), *[F.col(k).cast("string") for k in key])
+    return F.substring(F.md5(text.cast("binary")), 1, 1) < "a"
+
+
+def feature_sets(trees: int, size: int, seed: int = 42) -> list[list[str]]:
+    """The features of each tree of a subspace forest, in the order of ``FEATURES``."""
+    draw = random.Random(seed)
+    return [sorted(draw.sample(FEATURES, size), key=FEATURES.index) for _ in range(trees)]
+
+
+def subspace_forest(
+    train: DataFrame,
+    test: DataFrame,
+    key: Sequence[str],
+    trees: int = 5,
+    size: int = 6,
+    depth: int = 4,
+    least: int = 100,
+    seed: int = 42,
+) -> tuple[DataFrame, list[dict]]:
+    """Test rows with ``leaves`` (one per tree), ``probability`` of a delay and ``prediction``, and
+    the rules of all trees.
+
+    Each tree sees the rows and features that a digest and a seed give it, so that the same
+    forest comes out however the rows are partitioned. Its leaves hold the share of delayed
+    rows; the forest's probability is their mean. Categories count by their frequency index.
+    """
+    indexes = index_strings(train)
+
+    def numbers(rows: DataFrame) -> DataFrame:
+        """Features as plain numbers; rows without one are skipped."""
+        indexed = indexes.transform(rows)
+        values = [F.col(n).cast("double").alias(c, metadata={}) for c, n in zip(FEATURES, _features(), strict=True)]
+        return indexed.select(*key, "label", *values).dropna(subset=list(FEATURES))
+
+    fit_on, found = numbers(train).persist(StorageLevel.DISK_ONLY), []
+    try:
+        for i, names in enumerate(feature_sets(trees, size, seed)):
+            tree = DecisionTreeRegressor(labelCol="label", maxDepth=depth, minInstancesPerNode=least, maxBins=BINS)
+            model = _fit(tree, assemble(fit_on.where(in_bag(i, key, seed)), names))
+            found += [rule | {"tree": i} for rule in rules.rule_rows(rules.saved_nodes(model), names)]
+    finally:
+        fit_on.unpersist()
+    scored = rules.with_leaves(numbers(test), found)
+    votes = rules.mean_of(rules.values_of(found, F.col("leaves")), trees)
+    out = scored.withColumn("probability", votes)
+    return out.withColumn("prediction", (F.col("probability") > 0.5).cast("double")), found
+
+
 def differences(predictions: DataFrame, target: str, prediction: str = "prediction") -> DataFrame:
     return predictions.withColumn("difference", F.abs(F.col(prediction) - F.col(target)))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from gristmill.operators import models, splits
+from gristmill.operators import models, rules, splits
 from gristmill.plans import bindings as b
+from gristmill.plans import logistic_sql, tree_sql
 from gristmill.plans.registry import query
 from gristmill.session import scratch
 
@@ -99,58 +101,113 @@ def string_index(spark, folder):
     return indexed.select(F.inline(pairs)).distinct()
 
 
-def _delay_split(spark, folder):
+def _delay_split(spark, folder, keep=()):
     keyed = b.flights(spark, folder)
     key = F.concat_ws(":", F.lit("42"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")])
     test = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
-    return models.delay_rows(keyed.where(~test)), models.delay_rows(keyed.where(test))
+    return models.delay_rows(keyed.where(~test), keep=keep), models.delay_rows(keyed.where(test), keep=keep)
 
 
 IN_TEST = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_linenumber"))
 TEST_SQL = f"substr(md5('42:' || {IN_TEST}), 1, 1) IN ('0', '8')"
-# Test rows whose categories the train rows know and whose numbers can be read.
-VERIFIED_SQL = f"""
-WITH flown AS (
-    SELECT *, {TEST_SQL} AS held FROM ({b.FLIGHTS_SQL})
-    WHERE "Cancelled" = 0 AND TRY_CAST("ArrDelay" AS DOUBLE) IS NOT NULL
-)
-SELECT CASE WHEN TRY_CAST("ArrDelay" AS DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
-       count(*) AS n, true AS better_than_chance, true AS in_classes
-FROM flown
-WHERE held AND TRY_CAST("CRSElapsedTime" AS INTEGER) IS NOT NULL
-  AND {" AND ".join(f'"{c}" IN (SELECT "{c}" FROM flown WHERE NOT held)' for c in models.CATEGORIES)}
-GROUP BY label"""
-
-
-def _verified(predicted):
-    """What SQL can say about predictions: the test rows per class, and that the accuracy is
-    at least a half and every prediction is one of the classes."""
-    right = F.avg((F.col("label") == F.col("prediction")).cast("double"))
-    facts = predicted.agg(
-        F.struct(
-            (right >= 0.5).alias("better"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known")
-        )
-    ).scalar()
-    counts = predicted.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("_f", facts).select(
-        "label", "n", F.col("_f.better").alias("better_than_chance"), F.col("_f.known").alias("in_classes")
+FLIGHT_KEY = ("l_orderkey", "l_linenumber")
+GATE = 0.55
+FOREST = {"trees": 5, "size": 6, "depth": 4, "least": 100}
+# Flown rows with categories as the train rows' frequency indexes; a row without a number or
+# with a category that no train row has is skipped.
+INDEXED_SQL = f"""
+SELECT f.* REPLACE ({", ".join(f'i{c}.idx AS "{c}"' for c in models.CATEGORIES)},
+                    TRY_CAST("CRSElapsedTime" AS INTEGER) AS "CRSElapsedTime"),
+       CASE WHEN TRY_CAST("ArrDelay" AS DOUBLE) > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, {TEST_SQL} AS held
+FROM ({b.FLIGHTS_SQL}) f {" ".join(
+    f"""JOIN (SELECT "{c}", CAST(row_number() OVER (ORDER BY count(*) DESC, "{c}") - 1 AS DOUBLE) AS idx
+        FROM ({b.FLIGHTS_SQL}) WHERE "Cancelled" = 0 AND TRY_CAST("ArrDelay" AS DOUBLE) IS NOT NULL AND NOT {TEST_SQL}
+        GROUP BY "{c}") i{c} ON i{c}."{c}" = f."{c}" """ for c in models.CATEGORIES)}
+WHERE "Cancelled" = 0 AND TRY_CAST("ArrDelay" AS DOUBLE) IS NOT NULL AND TRY_CAST("CRSElapsedTime" AS INTEGER) IS NOT NULL"""
+BAG_SQL = f"substr(md5('42:' || tree || ':' || {IN_TEST}), 1, 1) < 'a'"
+
+
+FOREST_SQL = tree_sql.grown(
+    f"SELECT *, 0 AS row FROM ({INDEXED_SQL}) WHERE NOT held",
+    f"SELECT *, row_number() OVER () AS row FROM ({INDEXED_SQL}) WHERE held",
+    [*FLIGHT_KEY, "label", "row"],
+    "label",
+    models.feature_sets(FOREST["trees"], FOREST["size"]),
+    FOREST["depth"],
+    FOREST["least"],
+    BAG_SQL,
+) + """
+SELECT l_orderkey, l_linenumber, label, string_agg(CAST(node AS VARCHAR), ',' ORDER BY tree) AS leaves,
+       round(avg(value), 6) AS probability, CASE WHEN avg(value) > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM scored GROUP BY l_orderkey, l_linenumber, label, row"""
+
+
+@query(FOREST_SQL)
+def delay_forest(spark, folder):
+    """Every test row with its leaf in each tree, the forest's probability and its prediction; the
+    twin grows the same trees from the train rows."""
+    train, test = _delay_split(spark, folder, FLIGHT_KEY)
+    predicted, _ = models.subspace_forest(train, test, FLIGHT_KEY, **FOREST)
+    return predicted.select(
+        *FLIGHT_KEY,
+        "label",
+        F.array_join(F.transform("leaves", lambda x: x.cast("string")), ",").alias("leaves"),
+        F.round("probability", 6).alias("probability"),
+        "prediction",
     )
 
 
-@query(VERIFIED_SQL)
-def delay_logistic(spark, folder):
-    return _verified(models.delay_logistic(*_delay_split(spark, folder)))
+TRAIN_SQL = f"SELECT * FROM ({INDEXED_SQL}) WHERE NOT held"
+HELD_SQL = f"SELECT *, row_number() OVER () AS row FROM ({INDEXED_SQL}) WHERE held"
+LOGISTIC = logistic_sql.fitted(TRAIN_SQL, HELD_SQL, [*FLIGHT_KEY, "label"], "label", models.FEATURES)
+LOGISTIC_OUT = """
+SELECT l_orderkey, l_linenumber, label, array_to_string(list_transform(x, lambda v: CAST(v AS VARCHAR)), ',') AS features,
+       round(probability, 4) AS probability, CASE WHEN probability > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction"""
 
 
-@query(VERIFIED_SQL)
-def delay_forest(spark, folder):
-    return _verified(models.delay_forest(*_delay_split(spark, folder)))
+def _logistic_out(predicted):
+    values = F.transform(vector_to_array("features"), lambda v: v.cast("string"))
+    return predicted.select(
+        *FLIGHT_KEY,
+        "label",
+        F.array_join(values, ",").alias("features"),
+        F.round(F.get(vector_to_array("probability"), 1), 4).alias("probability"),
+        "prediction",
+    )
 
 
-@query(VERIFIED_SQL)
+@query(f"WITH {LOGISTIC} {LOGISTIC_OUT} FROM predicted")
+def delay_logistic(spark, folder):
+    """Every test row with its vector, the probability of a delay and the prediction; the twin fits
+    the same model by Newton steps."""
+    train, test = _delay_split(spark, folder, FLIGHT_KEY)
+    return _logistic_out(models.delay_logistic(train, test, tol=1e-12, steps=500))
+
+
+@query(f"""
+WITH {LOGISTIC}, gate AS (
+    SELECT avg(CASE WHEN label = CASE WHEN probability > 0.5 THEN 1 ELSE 0 END THEN 1.0 ELSE 0.0 END) >= {GATE} AS kept
+    FROM predicted
+)
+SELECT l_orderkey, l_linenumber, label, 'logistic' AS model, round(probability, 4) AS probability,
+       CASE WHEN probability > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+FROM predicted, gate WHERE kept
+UNION ALL
+SELECT l_orderkey, l_linenumber, label, 'forest', round(probability, 4), prediction
+FROM ({FOREST_SQL}), gate WHERE NOT kept""")
 def delay_model(spark, folder):
-    """The gated choice between both models."""
-    return _verified(models.delay_model(*_delay_split(spark, folder)))
+    """The gated choice between both models: the logistic predictions, or the forest's where the
+    logistic accuracy misses the gate."""
+    train, test = _delay_split(spark, folder, FLIGHT_KEY)
+    columns = [*FLIGHT_KEY, "label", "model", "probability", "prediction"]
+    first = _logistic_out(models.delay_logistic(train, test, tol=1e-12, steps=500))
+    reached = models.accuracy(first).first()["accuracy"]
+    if reached is None or reached >= GATE:
+        return first.withColumn("model", F.lit("logistic")).select(columns)
+    forest, _ = models.subspace_forest(train, test, FLIGHT_KEY, **FOREST)
+    return forest.select(
+        *FLIGHT_KEY, "label", F.lit("forest").alias("model"), F.round("probability", 4).alias("probability"), "prediction"
+    )
 
 
 @query(f"""
@@ -168,19 +225,39 @@ def accuracy(spark, folder):
 HOUSE_FEATURES = ("HouseAge", "DistanceToMRT", "NumberConvenienceStores")
 
 
-@query("""
-SELECT p_partkey AS id, p_retailprice AS "PriceOfUnitArea", true AS in_range FROM part
-WHERE substr(md5('42:' || CAST(p_partkey AS VARCHAR)), 1, 1) IN ('0', '8')""")
+HOUSES_SQL = """
+SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS "HouseAge", CAST(p_partkey % 40 AS DOUBLE) AS "DistanceToMRT",
+       length(p_name) AS "NumberConvenienceStores", p_retailprice AS "PriceOfUnitArea",
+       substr(md5('42:' || CAST(p_partkey AS VARCHAR)), 1, 1) IN ('0', '8') AS held FROM part"""
+PRICE_DEPTH, PRICE_LEAST = 4, 15
+
+
+@query(
+    tree_sql.grown(
+        f"SELECT * FROM ({HOUSES_SQL}) WHERE NOT held",
+        f"SELECT * FROM ({HOUSES_SQL}) WHERE held",
+        ["id"],
+        '"PriceOfUnitArea"',
+        [HOUSE_FEATURES],
+        PRICE_DEPTH,
+        PRICE_LEAST,
+    )
+    + """
+SELECT id, h."PriceOfUnitArea", node AS leaf, n AS n_train, round(value, 6) AS prediction
+FROM scored JOIN part ON p_partkey = id JOIN (SELECT p_partkey AS pk, p_retailprice AS "PriceOfUnitArea" FROM part) h ON pk = id"""
+)
 def price_tree(spark, folder):
-    """The test rows, and that each prediction lies inside the range of the train prices."""
+    """Every test row with its leaf, the leaf's train rows and their mean price; the twin grows the
+    same tree from the train rows."""
     houses = b.houses(spark, folder)
     key = F.concat(F.lit("42:"), F.col("id").cast("string"))
     held = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
     train, test = houses.where(~held), houses.where(held)
-    predicted = models.price_tree(train, test, HOUSE_FEATURES, "PriceOfUnitArea")
-    ends = train.agg(F.struct(F.min("PriceOfUnitArea").alias("low"), F.max("PriceOfUnitArea").alias("high"))).scalar()
-    inside = F.col("prediction").between(F.col("_e.low"), F.col("_e.high"))
-    return predicted.withColumn("_e", ends).select("id", "PriceOfUnitArea", inside.alias("in_range"))
+    predicted, found = models.price_rules(train, test, HOUSE_FEATURES, "PriceOfUnitArea", PRICE_DEPTH, PRICE_LEAST)
+    facts = rules.leaf_facts(train, found, "PriceOfUnitArea").select("leaf", F.col("n").alias("n_train"))
+    return predicted.join(facts, "leaf").select(
+        "id", "PriceOfUnitArea", "leaf", "n_train", F.round("prediction", 6).alias("prediction")
+    )
 
 
 @query("""

@@ -9,11 +9,13 @@ backward search extends all phrases of a length at once to the left or to the ri
 the counts of the extensions, and the twin interval follows from the counts of the smaller
 symbols.
 
-Counts are summed over the shards length by length. Only phrases that reach the least count
-are extended: a phrase of k + 1 words is a left extension of its last k words and a right
-extension of its first k words, and both must reach the least count to let it do so. Which
-phrases did is returned to the shards that hold them. Nothing else is left out, so counts
-are exact. Scores are whole numbers; products are taken in 38 decimal digits.
+Counts are summed over the shards. A phrase is spelled out only where it can reach the
+least count: shards send the words and pairs they hold as 32-bit values within hash buckets,
+with their counts up to the least one, and get back the values whose sum reaches it. Values
+that collide only add phrases, which the sum of the spelled phrases drops again. A phrase of
+k + 1 words is a left extension of its last k words and a right extension of its first k
+words, and both must reach the least count to let it do so; only such phrases are extended.
+Counts are exact. Scores are whole numbers; products are taken in 38 decimal digits.
 
 A-Z become lower case. Pieces end at ``.,;:!?``, line feed, vertical tab, form feed and
 carriage return; words are runs without space and tab. Null and empty texts have no words;
@@ -26,12 +28,14 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gristmill.llm.chunks import dealt, in_order
+from gristmill.llm.chunks import dealt, in_order, packed, unpacked
+from gristmill.llm.substring_dedup import BUCKETS, among, by_bucket, mixed
 
 LONGEST = 3
 LEAST = 10
@@ -39,6 +43,8 @@ LEAST = 10
 SUBSUMED = 50
 TOP = 2_000
 SCALE = 1_000_000
+#: A phrase's score at one cut; the products have up to 38 digits, for counts up to 10^16.
+SCORE = f"({SCALE}BD * cast(a as decimal(16,0)) * cast(a as decimal(16,0))) div (cast(l as decimal(16,0)) * cast(r as decimal(16,0)))"
 UNKNOWN = "und"
 #: Bytes of a shard's texts.
 SHARD_BYTES = 16 << 20
@@ -175,15 +181,96 @@ def _whole(parts: list[pa.Table]) -> pa.Table:
     return pa.concat_tables(parts) if parts else pa.table({n: pa.array([], t) for n, t in _EMPTY.items()})
 
 
-def count_pairs(table: pa.Table) -> pa.Table:
-    """Words and phrases of two words of a shard, with their counts."""
+SENT = "bucket int, chunk bigint, values binary, counts binary"
+
+
+def _hashes(words: pa.Array, lang: str) -> np.ndarray:
+    """One 64-bit hash per word of a language."""
+    names = np.array([lang, *words.to_pylist()], dtype=object)
+    h = pd.util.hash_array(names, categorize=False)
+    return h[1:] ^ mixed(h[:1])
+
+
+def _values(index: ShardIndex, hashes: np.ndarray, ahead: np.ndarray, length: int, buckets: int) -> np.ndarray:
+    """Bucket and 32-bit value of phrases, as one number."""
+    total = np.zeros(len(ahead), dtype=np.uint64)
+    for i, symbol in enumerate(index.spell(ahead, length)):
+        total = mixed(total + hashes[symbol - 1] + np.uint64(i + 1))
+    return ((total >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32) | (total & np.uint64(0xFFFFFFFF))
+
+
+def _short(lang: str, words: pa.Array, index: ShardIndex, buckets: int):
+    """Words and pairs of a shard: their lengths, starts (ahead, back), sizes and values."""
+    hashes = _hashes(words, lang)
+    one = index.words()
+    two = index.right(*one)[:3]
+    for length, (ahead, back, size) in ((1, one), (2, two)):
+        yield length, ahead, back, size, _values(index, hashes, ahead, length, buckets)
+
+
+def send_short(table: pa.Table, least: int, buckets: int) -> pa.Table:
+    """Per bucket, the values of a shard's words and pairs with their counts, at most ``least``."""
+    values, counts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for lang, words, s in _by_language(table):
+        for _, _, _, size, value in _short(lang, words, ShardIndex(s, 2), buckets):
+            values.append(value)
+            counts.append(np.minimum(size, least))
+    value, count = np.concatenate(values), np.concatenate(counts)
+    order = np.argsort(value)
+    value, count = value[order], count[order].astype(_count_type(least))
+    names, cuts = by_bucket(value >> np.uint64(32))
+    value = value.astype(np.uint32)
+    spans = list(zip(cuts[:-1], cuts[1:], strict=True)) if len(names) else []
+    return pa.table(
+        {
+            "bucket": pa.array(names.astype(np.int32)),
+            "chunk": pa.array([table["_chunk"][0].as_py()] * len(names), pa.int64()),
+            "values": pa.array([packed(value[x:y]) for x, y in spans], pa.binary()),
+            "counts": pa.array([packed(count[x:y]) for x, y in spans], pa.binary()),
+        }
+    )
+
+
+def _count_type(least: int) -> type:
+    return np.uint8 if least < 256 else np.uint32
+
+
+def frequent_short(table: pa.Table, least: int) -> pa.Table:
+    """For each shard, its values of this bucket whose sum reaches ``least``."""
+    values = unpacked(table["values"], np.uint32)
+    counts = unpacked(table["counts"], _count_type(least)).astype(np.int64)
+    order = np.argsort(values)
+    first = np.flatnonzero(np.append(True, values[order][1:] != values[order][:-1]))
+    often = values[order][first][np.add.reduceat(counts[order], first) >= least]
+    own = [np.frombuffer(x, dtype=np.uint32) for x in table["values"].to_pylist()]
+    return pa.table(
+        {
+            "chunk": table["chunk"],
+            "bucket": table["bucket"],
+            "values": pa.array([packed(x[among(x, often)]) for x in own], pa.binary()),
+        }
+    )
+
+
+def spell_short(table: pa.Table, found: pa.Table, buckets: int, longest: int) -> pa.Table:
+    """Words and pairs of a shard that can reach the least count, and phrases of three words
+    made of such pairs. A row of length 0 counts all words of a language."""
     chunk, parts = table["_chunk"][0].as_py(), []
+    sent = [np.frombuffer(x, dtype=np.uint32) for x in found["values"].to_pylist()]
+    bucket = np.repeat(found["bucket"].to_numpy().astype(np.uint64), [len(x) for x in sent])
+    values = np.concatenate([*sent, np.zeros(0, dtype=np.uint32)]).astype(np.uint64)
+    known = np.sort(bucket << np.uint64(32) | values)
     for lang, words, s in _by_language(table):
-        index = ShardIndex(s, 2)
-        ahead, back, size = index.words()
-        parts.append(_rows(chunk, lang, words, index, ahead, size, 1))
-        longer, _, count, _ = index.right(ahead, back, size)
-        parts.append(_rows(chunk, lang, words, index, longer, count, 2))
+        index = ShardIndex(s, min(longest, 3))
+        whole = {"_shard": [chunk], "lang": [lang], "k": [0], "phrase": [""], "c": [int((s > 0).sum())]}
+        parts.append(pa.table(whole, schema=pa.schema(_EMPTY)))
+        for length, ahead, back, size, value in _short(lang, words, index, buckets):
+            kept = among(value, known)
+            ahead, back, size = ahead[kept], back[kept], size[kept]
+            parts.append(_rows(chunk, lang, words, index, ahead, size, length))
+        if longest > 2:
+            ahead, back, size = index.longer(ahead, back, size)
+            parts.append(_rows(chunk, lang, words, index, ahead, size, 3))
     return _whole(parts)
 
 
@@ -228,7 +315,7 @@ def _smaller(half: Half, symbol: np.ndarray, low: np.ndarray, size: np.ndarray)
 
 def _summed(local: DataFrame, least: int) -> DataFrame:
     total = local.groupBy("lang", "phrase", "k").agg(F.sum("c").alias("a"))
-    return total.where(F.col("a") >= least)
+    return total.where((F.col("k") < 2) | (F.col("a") >= least))
 
 
 def phrase_counts(
@@ -238,27 +325,29 @@ def phrase_counts(
     longest: int = LONGEST,
     least: int = LEAST,
     shard_bytes: int = SHARD_BYTES,
-) -> tuple[DataFrame, DataFrame]:
-    """Words with their counts (``lang``, ``phrase``, ``a``), and the phrases of two to ``longest``
-    words that occur ``least`` times or more (with ``k``, the number of words)."""
+) -> DataFrame:
+    """Words with their counts (``lang``, ``phrase``, ``a``, and ``k``: 1, or 0 for all words of the
+    language), and the phrases of two to ``longest`` words that occur ``least`` times or more.
+    Words that occur less often may be absent."""
     if longest < 2:
         raise ValueError("a phrase has two words or more")
     named = F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN))
     texts = dealt(docs, shard_bytes, _lang=named, _text=F.col(text).cast("string")).groupBy("_chunk")
-    # Shards have added up their own counts: rows go to their phrase unmerged, and both the
-    # sums and the way back to the shards use that one shuffle.
-    local = texts.applyInArrow(count_pairs, COUNTS).repartition("lang", "phrase", "k")
-    words = local.where("k = 1").groupBy("lang", "phrase").agg(F.sum("c").alias("a"))
-    levels = []
-    for length in range(2, longest + 1):
-        frequent = _summed(local.where(F.col("k") == length), least)
-        levels.append(frequent)
-        if length < longest:
-            back = local.where(F.col("k") == length).join(frequent.drop("a"), ["lang", "phrase", "k"], "left_semi")
-            known = back.select("_shard", "lang", "phrase").groupBy("_shard")
-            counted = texts.cogroup(known).applyInArrow(_counter(length + 1), COUNTS)
-            local = counted.repartition("lang", "phrase", "k")
-    return words, reduce(DataFrame.unionByName, levels)
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = texts.applyInArrow(lambda t: send_short(t, least, buckets), SENT)
+    often = sent.groupBy("bucket").applyInArrow(lambda t: frequent_short(t, least), "chunk bigint, bucket int, values binary")
+    local = texts.cogroup(often.groupBy("chunk")).applyInArrow(
+        lambda t, f: spell_short(t, f, buckets, longest), COUNTS
+    )
+    if longest > 3:  # several users below: the rows are written once
+        local = local.checkpoint()
+    levels = [_summed(local, least)]
+    for length in range(4, longest + 1):
+        back = local.where(F.col("k") == length - 1).join(levels[-1].drop("a"), ["lang", "phrase", "k"], "left_semi")
+        known = back.select("_shard", "lang", "phrase").groupBy("_shard")
+        local = texts.cogroup(known).applyInArrow(_counter(length), COUNTS).checkpoint()
+        levels.append(_summed(local, least))
+    return reduce(DataFrame.unionByName, levels)
 
 
 def collocations(
@@ -272,21 +361,18 @@ def collocations(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``: the best phrases per language."""
-    words, phrases = phrase_counts(docs, text, lang, longest, least, shard_bytes)
-    # Few rows are left, but all of them came from the shuffles above: they are kept.
-    words, phrases = words.checkpoint(), phrases.checkpoint()
-    totals = words.groupBy("lang").agg(F.sum("a").alias("n"))
-    parts = words.where(F.col("a") >= least).unionByName(phrases.select("lang", "phrase", "a"))
+    # Few rows are left, and all of them came from the shuffles above: they are written once.
+    counts = phrase_counts(docs, text, lang, longest, least, shard_bytes).checkpoint()
+    totals = counts.where("k = 0").select("lang", F.col("a").alias("n"))
+    phrases = counts.where("k > 1")
+    parts = counts.where((F.col("k") > 0) & (F.col("a") >= least)).select("lang", "phrase", "a")
     cuts = phrases.select("*", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut")).withColumn(
         "_first", F.expr("substring_index(phrase, ' ', cut)")
     )
     cuts = cuts.withColumn("_rest", F.expr("substring(phrase, length(_first) + 2)"))
     left = parts.select("lang", F.col("phrase").alias("_first"), F.col("a").alias("l"))
     right = parts.select("lang", F.col("phrase").alias("_rest"), F.col("a").alias("r"))
-    wide = "decimal(19,0)"
-    scored = cuts.join(left, ["lang", "_first"]).join(right, ["lang", "_rest"]).withColumn(
-        "score", F.expr(f"({SCALE}BD * cast(a as {wide}) * cast(a as decimal(12,0))) div (cast(l as {wide}) * cast(r as {wide}))")
-    )
+    scored = cuts.join(left, ["lang", "_first"]).join(right, ["lang", "_rest"]).withColumn("score", F.expr(SCORE))
     weakest = F.min_by(F.struct("l", "r", "score"), F.struct("score", "cut")).alias("w")
     scored = scored.groupBy("lang", "phrase", "k", "a").agg(weakest).select("lang", "phrase", "k", "a", "w.*")
     # Every run of fewer words inside a phrase, with the largest count of a phrase around it.

@@ -63,6 +63,14 @@ def letter_counts(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def letter_events(lines: DataFrame, key: str, value: str = "value") -> DataFrame:
+    """One row per word made of ASCII letters: the line's key, the word's number and first letter."""
+    split = F.posexplode(text.word_runs(F.col(value))).alias("pos", "word")
+    return lines.select(key, split).where(F.col("word").rlike("^[a-z]+$")).select(
+        key, (F.col("pos") + 1).alias("pos"), F.substring("word", 1, 1).alias("letter")
+    )
+
+
 def log_lines(counts: DataFrame) -> DataFrame:
     """``letter: count`` lines."""
     return counts.select(F.format_string("%s: %d", "letter", "n").alias("line"))

@@ -12,10 +12,10 @@ from gristmill.operators.messages import parse_articles
 from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
 from gristmill.plans.tables import GLOBAL_LATE, KEYED_LATE
-from gristmill.plans.words import LETTERS_SQL, PLAIN_SQL
+from gristmill.plans.words import LETTERS_SQL, PLAIN_SQL, WORD
 from gristmill.session import scratch
 from gristmill.sources.readers import table_stream
-from gristmill.streaming import detector, fanout, runs, windows
+from gristmill.streaming import changelog, detector, fanout, runs, windows
 
 
 def _stream(spark, folder, name):
@@ -185,25 +185,33 @@ def stream_fan_out(spark, folder):
     return whole
 
 
-#: Micro-batches of the registered out-of-order runs.
+#: Micro-batches of the registered runs in stretches.
 BATCHES = 4
 
 
+def _cuts(rows, key):
+    """Numbers that cut the rows into ``BATCHES`` stretches of about the same size."""
+    shares = [i / BATCHES for i in range(1, BATCHES)]
+    return rows.select(F.percentile_approx(key, shares, 10_000).alias("at")).first()["at"] or []
+
+
+def _stretches(rows, key):
+    """The rows in stretches of their numbers; those without a number come first."""
+    bounds = [None, *_cuts(rows, key), None]
+    for low, high in itertools.pairwise(bounds):
+        part = F.lit(True) if low is None else F.col(key) >= low
+        if high is not None:
+            below = F.col(key) < high
+            part = part & (below | F.col(key).isNull() if low is None else below)
+        yield rows.where(part)
+
+
 def _late_by_batches(spark, folder, keys=()):
     """The orders as a source written in sequence: one folder per stretch of order numbers,
     each worked off by a run of its own that goes on from the state of the run before."""
     orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     base = scratch(spark, "late")
-    cuts = orders.select(
-        F.percentile_approx("o_orderkey", [i / BATCHES for i in range(1, BATCHES)], 10_000).alias("at")
-    ).first()["at"]
-    bounds = [None, *(cuts or []), None]
-    for low, high in itertools.pairwise(bounds):
-        rows = orders
-        if low is not None:
-            rows = rows.where(F.col("o_orderkey") >= low)
-        if high is not None:
-            rows = rows.where(F.col("o_orderkey") < high)
+    for rows in _stretches(orders, "o_orderkey"):
         rows.write.mode("append").parquet(f"{base}/in")
         stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
         runs.finish(
@@ -229,3 +237,54 @@ def stream_out_of_order(spark, folder):
 @query(GLOBAL_LATE)
 def stream_out_of_order_global(spark, folder):
     return _late_by_batches(spark, folder)
+
+
+@query(KEYED_LATE)
+def stream_out_of_order_reordered(spark, folder):
+    """The orders of a source that mixes neighbouring stretches: a row is up to an eighth of all
+    numbers late, across batches. The buffer puts them back in order before the comparison."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    base = scratch(spark, "reordered")
+    ends = orders.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).first()
+    delay = (ends["high"] - ends["low"]) // (2 * BATCHES) + 1 if ends["low"] is not None else 1
+    # A digest of the number says how late a row comes; the batches follow the time of coming.
+    comes = F.col("o_orderkey") + F.pmod(F.xxhash64(F.col("o_orderkey")), F.lit(delay))
+    arrived = orders.withColumn("_comes", comes)
+    late = {"seq": "o_orderkey", "ts": "o_orderdate", "keys": ["o_custkey"]}
+    places = {"path": f"{base}/out", "carry": f"{base}/carry"}
+    batches = 0
+    for rows in _stretches(arrived, "_comes"):
+        rows.drop("_comes").write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(orders.schema).parquet(f"{base}/in")
+        run = detector.by_reordered_batches(stream, delay=delay, checkpoint=f"{base}/checkpoint", **late, **places)
+        runs.finish(run)
+        batches = runs.batches_done(run)
+    detector.flush_reordered(spark, orders.schema, batch_id=batches, **late, **places)
+    schema = StructType([*orders.schema.fields]).add("prev_ts", "timestamp_ntz")
+    return runs.read_batches(spark, f"{base}/out", schema).drop("batch_id")
+
+
+LETTER_CHANGES = f"""
+SELECT doc_id, pos, substr(word, 1, 1) AS letter,
+       row_number() OVER (PARTITION BY substr(word, 1, 1) ORDER BY doc_id, pos) AS n
+FROM (SELECT doc_id, unnest(l) AS word, CAST(generate_subscripts(l, 1) AS INTEGER) AS pos
+      FROM (SELECT doc_id, string_split_regex(lower(text), '[^{WORD}]+') AS l FROM documents))
+WHERE regexp_full_match(word, '[a-z]+')"""
+
+
+@query(LETTER_CHANGES)
+def stream_letter_changes(spark, folder):
+    """The running count of a word's first letter after each word, over several batches."""
+    documents = b.table(spark, folder, "documents").select("doc_id", "text")
+    base = scratch(spark, "changes")
+    schema = StructType().add("doc_id", "long").add("pos", "integer").add("letter", "string").add("n", "long")
+    for rows in _stretches(documents, "doc_id"):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = b.spread(spark.readStream.schema(documents.schema).parquet(f"{base}/in"))
+        letters = words.letter_events(stream, "doc_id", "text")
+        runs.finish(
+            changelog.by_batches(
+                letters, ["letter"], ["doc_id", "pos"], f"{base}/out", f"{base}/carry", f"{base}/checkpoint"
+            )
+        )
+    return runs.read_batches(spark, f"{base}/out", schema).drop("batch_id")

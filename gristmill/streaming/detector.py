@@ -5,14 +5,14 @@ Inside a batch rows are compared with bucketed windows. The last row per key is
 from batch to batch: batch N writes the rows of its own keys as delta N, and every
 ``COMPACT``-th batch folds the deltas into one table, so the carried state stays within
 the keys ever seen plus the deltas since, whatever the number of batches. Older state than
-the last two tables is removed. Batches must come in the order of the sequence; a row older
-than the last one carried is compared with that one. There is no Python and no task that
+the last two tables is removed. Batches must come in the order of the sequence, or go through
+the reorder buffer; a row older than the last one carried is compared with that one. There is no Python and no task that
 must hold all rows of a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
 from gristmill.operators.order import with_previous
+from gristmill.streaming import reorder
 from gristmill.streaming.runs import batch_path, start
 
 #: Batches after which the carried rows are folded into one table.
@@ -31,22 +32,20 @@ def _remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def by_batches(
-    stream: DataFrame,
+def sink_into(
+    spark: SparkSession,
+    schema: StructType,
     seq: str,
     ts: str,
     path: str,
     carry: str,
-    checkpoint: str,
     keys: Sequence[str] = (),
-    trigger: dict | None = None,
     **options,
-) -> StreamingQuery:
-    """Write late rows with ``prev_ts`` per batch below ``path``; ``carry`` holds the last
+) -> Callable[[DataFrame, int], None]:
+    """A batch sink that writes late rows with ``prev_ts`` below ``path``; ``carry`` holds the last
     row per key. Batch N reads what earlier batches left and replaces its own files."""
-    spark = stream.sparkSession
     keys = list(keys)
-    types = {f.name: f.dataType for f in stream.schema.fields}
+    types = {f.name: f.dataType for f in schema.fields}
     carried = StructType(
         [StructField(k, types[k]) for k in keys]
         + [StructField("_seq", types[seq]), StructField("_ts", types[ts])]
@@ -108,4 +107,49 @@ def by_batches(
         finally:
             batch.unpersist()
 
+    return sink
+
+
+def by_batches(
+    stream: DataFrame,
+    seq: str,
+    ts: str,
+    path: str,
+    carry: str,
+    checkpoint: str,
+    keys: Sequence[str] = (),
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """Run a stream, whose batches come in the order of ``seq``, into ``sink_into``."""
+    sink = sink_into(stream.sparkSession, stream.schema, seq, ts, path, carry, keys, **options)
     return start(stream, sink, checkpoint, "append", trigger)
+
+
+def by_reordered_batches(
+    stream: DataFrame,
+    seq: str,
+    ts: str,
+    delay: int,
+    path: str,
+    carry: str,
+    checkpoint: str,
+    keys: Sequence[str] = (),
+    dense: bool = False,
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """As ``by_batches`` for a stream whose rows come up to ``delay`` numbers late, across batches
+    too: they wait in ``carry`` for their turn. ``flush_reordered`` ends a bounded input."""
+    sink = sink_into(stream.sparkSession, stream.schema, seq, ts, path, f"{carry}/last", keys, **options)
+    return reorder.in_order(
+        stream, seq, delay, lambda rows, n: sink(rows.drop("late"), n), f"{carry}/held", checkpoint, dense, trigger
+    )
+
+
+def flush_reordered(
+    spark: SparkSession, schema: StructType, seq: str, ts: str, path: str, carry: str, batch_id: int, keys: Sequence[str] = (), **options
+) -> None:
+    """Compare the rows still held after the last batch ``batch_id - 1``."""
+    sink = sink_into(spark, schema, seq, ts, path, f"{carry}/last", keys, **options)
+    reorder.flush(spark, schema, seq, lambda rows, n: sink(rows.drop("late"), n), f"{carry}/held", batch_id)

@@ -46,6 +46,12 @@ def finish(query: StreamingQuery, seconds: int | None = None) -> None:
         raise TimeoutError(f"stream not done after {seconds} s")
 
 
+def batches_done(query: StreamingQuery) -> int:
+    """How many batches a stream has worked off, earlier runs on its checkpoint included."""
+    done = query.lastProgress
+    return done["batchId"] + 1 if done else 0
+
+
 def write_batches(
     stream: DataFrame,
     path: str,

@@ -21,6 +21,7 @@ BODY = r"(?s)<article\b[^>]*>(.*?)</article>"
 PARAGRAPH = r"(?s)<p\b[^>]*>(.*?)(?=</p>|<p\b|$)"
 NAVIGATION = r"(?s)<nav\b[^>]*>(.*?)</nav>"
 LINK = r"(?s)<a\b[^>]*>(.*?)</a>"
+OPEN_LINK = r"(?s)<a\b[^>]*>(.*?)(?=</a>|<a\b|$)"
 
 
 def plain(markup: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.functions import html, text, times
+from gristmill.functions import html, markup, text, times
 from gristmill.operators.words import count_by, explode_words, top
 
 
@@ -321,3 +321,49 @@ def page_fields(pages: DataFrame, photos: str | None = None, comments: str | Non
         "photo_count",
         "comment_count",
     )
+
+
+# Where the fields of an article stand on its page. A path of selectors leads
+# from an element to one inside it.
+PAGE_TITLE = ("h1",)
+PAGE_INTRO = (".opener",)
+PAGE_TEXT = ("#art-text",)
+PAGE_TAGS = ("#art-tags",)
+PAGE_PHOTOS = (".more-gallery", "span")
+PAGE_TIME = (".art-info", ".time", "span.time-date")
+PAGE_COMMENTS = ("#moot-linkin", "span")
+
+
+def page_articles(pages: DataFrame, key: str = "page_id", markup_column: str = "html") -> DataFrame:
+    """The article of each raw page: title, content (the intro, then the paragraphs of the text),
+    tags, photo count, time and comment count. A missing part is empty, a missing count 0 and a
+    missing time null. Elements are found by their nesting (``functions.markup``)."""
+    cut = pages.select(key, "url", markup.tokens(F.col(markup_column)).alias("_page"))
+    parts = {
+        "_title": PAGE_TITLE,
+        "_intro": PAGE_INTRO,
+        "_body": PAGE_TEXT,
+        "_links": PAGE_TAGS,
+        "_photos": PAGE_PHOTOS,
+        "_comments": PAGE_COMMENTS,
+    }
+    for name, path in parts.items():
+        cut = markup.inside(cut, "_page", path, name)
+    cut = markup.inside(cut, "_page", PAGE_TIME, "_time", tag="_time_tag")
+    time = markup.attribute(F.col("_time_tag"), "content")
+
+    def plain_texts(area: str, pattern: str) -> Column:
+        """Elements that cannot hold one another: the next one ends an unclosed one."""
+        found = F.regexp_extract_all(markup.raw(F.col(area)), F.lit(pattern), 1)
+        return F.transform(found, lambda x: markup.decoded(F.regexp_replace(x, markup.TAG, "")))
+
+    return cut.select(
+        key,
+        "url",
+        markup.text(F.col("_title")).alias("title"),
+        F.concat(F.array(markup.text(F.col("_intro"))), plain_texts("_body", html.PARAGRAPH)).alias("content"),
+        plain_texts("_links", html.OPEN_LINK).alias("tags"),
+        markup.number(markup.text(F.col("_photos"))).alias("photo_count"),
+        F.nullif(time, F.lit("")).alias("time"),
+        markup.number(markup.text(F.col("_comments"))).alias("comment_count"),
+    )

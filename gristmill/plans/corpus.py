@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gristmill.functions import html
 from gristmill.operators import corpus, histogram
 from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
@@ -282,3 +283,60 @@ FROM (
 def page_fields(spark, folder):
     fields = corpus.page_fields(b.texts(spark, folder, "pages"))
     return fields.drop("photo_count", "comment_count")
+
+
+def _article_page():
+    """A page of an article site around the paragraphs of a given page: the parts stand in nested
+    elements of the same name, beside comments and scripts that hold end tags."""
+    paragraphs = html.paragraphs(F.col("html"))
+    text_lines = F.transform(paragraphs, lambda p: F.concat(F.lit("<div><div><p>"), p, F.lit("</p></div></div>")))
+    number = F.col("page_id").cast("string")
+    return F.concat(
+        F.lit("<!-- <h1>no</h1> --><script>var x = \"</div><div id='art-text'>\";</script><div><h1>Nr. &#"),
+        (65 + F.pmod("page_id", F.lit(26))).cast("string"),
+        F.lit("; <i>&#x1F600;</i> "),
+        number,
+        F.lit("</h1><div class='art-info wide'><div class='time'><span>no</span><span class=\"a time-date\" content='2022-01-"),
+        F.lpad((1 + F.pmod("page_id", F.lit(28))).cast("string"), 2, "0"),
+        F.lit("T10:00'>x</span></div></div></div><div class='opener'><div>Intro <div>of</div></div> "),
+        F.col("url"),
+        F.lit("</div><div id='art-text' title='a > b'>"),
+        F.array_join(text_lines, "<!-- </div> -->"),
+        F.lit("</div><p>outside</p><div id='art-tags'><a>lang</a><a>page "),
+        number,
+        F.lit("</div><div class='more-gallery'><div><span>"),
+        F.pmod("page_id", F.lit(40)).cast("string"),
+        F.lit(" photos</span></div></div><a id='moot-linkin'><span>("),
+        F.pmod("page_id", F.lit(300)).cast("string"),
+        F.lit(" comments)</span></a>"),
+    )
+
+
+@query(f"""
+SELECT page_id, url, 'Nr. ' || chr(CAST(65 + page_id % 26 AS INTEGER)) || ' 😀 ' || page_id AS title,
+       array_to_string(list_prepend('Intro of ' || url, list_transform(p, lambda x: {plain_sql("x")})), chr(10)) AS content,
+       CAST(len(p) + 1 AS INTEGER) AS parts, 'lang,page ' || page_id AS tags, CAST(page_id % 40 AS INTEGER) AS photo_count,
+       '2022-01-' || lpad(CAST(1 + page_id % 28 AS VARCHAR), 2, '0') || 'T10:00' AS time,
+       CAST(page_id % 300 AS INTEGER) AS comment_count
+FROM (
+    SELECT page_id, url,
+           list_transform(
+               string_split(regexp_extract(html, '(?s)<article\\b[^>]*>(.*?)</article>', 1), '<p>')[2:],
+               lambda x: split_part(x, '</p>', 1)) AS p
+    FROM pages)""")
+def page_articles(spark, folder):
+    """Every field of an article read from a page whose elements are nested in ones of the same name;
+    the twin has the fields as they were put in."""
+    pages = b.texts(spark, folder, "pages").select("page_id", "url", _article_page().alias("html"))
+    found = corpus.page_articles(pages)
+    return found.select(
+        "page_id",
+        "url",
+        "title",
+        F.array_join("content", "\n").alias("content"),
+        F.size("content").alias("parts"),
+        F.array_join("tags", ",").alias("tags"),
+        "photo_count",
+        "time",
+        "comment_count",
+    )

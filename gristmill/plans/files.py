@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from gristmill.operators import tables, words
 from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
-from gristmill.plans.words import LETTERS_SQL
+from gristmill.plans.words import LETTERS_SQL, PLAIN_SQL
 from gristmill.session import scratch
-from gristmill.sources import readers, writers
+from gristmill.sources import readers, rolled, writers
 from gristmill.streaming import runs
 
 ARTICLE_SQL = f"""
@@ -157,3 +157,48 @@ def text_lines_of_extremes(spark, folder):
     writers.write_lines(best.select(F.concat_ws(" ", "station", F.col("reading").cast("long").cast("string")).alias("value")), path)
     return readers.read_lines(spark, path).select(F.col("value").alias("line"))
 
+
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
+def rolled_stream_sink(spark, folder):
+    """Rows of a stream in CSV files that end at 64 KiB or a minute, with a prefix and a suffix."""
+    base = scratch(spark, "rolled")
+    stream = readers.table_stream(spark, f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
+    runs.finish(
+        runs.to_rolled(
+            stream, f"{base}/out", f"{base}/checkpoint", every=None, kind="csv", prefix="orders", suffix=".csv", max_bytes=1 << 16
+        )
+    )
+    return rolled.read_rolled(spark, f"{base}/out", stream.schema)
+
+
+@query(f"SELECT word || ',' || n AS line FROM ({PLAIN_SQL})")
+def prefixed_word_counts(spark, folder):
+    """Word counts, a line each, in files named prefix-….ext."""
+    rolled.register(spark)
+    path = scratch(spark, "prefixed")
+    counts = words.plain_counts(b.text_lines(spark, folder))
+    line = F.concat_ws(",", "word", F.col("n").cast("string")).alias("line")
+    counts.select(line).write.format("rolled").mode("append").options(path=path, prefix="prefix", suffix=".ext").save()
+    return rolled.read_rolled(spark, path, "value string", "text").select(F.col("value").alias("line"))
+
+
+@query(f"""
+SELECT CAST((pos - 1) // {writers.CHUNK} AS BIGINT) AS chunk, count(*) AS n, min(pos) AS first, max(pos) AS last,
+       1::BIGINT AS files
+FROM (SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos FROM lineitem)
+GROUP BY 1""")
+def exact_chunks(spark, folder):
+    """Lines in files of exactly 30 000 records over the whole table, in order."""
+    path = scratch(spark, "exact")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    lines = b.table(spark, folder, "lineitem").select(*order)
+    value = F.concat_ws("|", *[F.col(c).cast("string") for c in order])
+    writers.write_chunks(lines.withColumn("value", value), path, order, "value")
+    files = spark.read.schema("pos bigint, value string, chunk bigint").option("sep", "\t").csv(path)
+    return files.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("pos").alias("first"),
+        F.max("pos").alias("last"),
+        F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+    )

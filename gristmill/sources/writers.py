@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.operators.order import with_position
+
 # Fixed value: records per exported text file.
 CHUNK = 30_000
 
@@ -42,3 +46,15 @@ def write_csv(
 def write_sorted(df: DataFrame, path: str, *keys: str, sep: str = "\t") -> None:
     """Delimited output in key order over all files."""
     write_csv(df.orderBy(*keys), path, header=False, sep=sep)
+
+
+def write_chunks(df: DataFrame, path: str, order: Sequence[str], column: str = "value", size: int = CHUNK) -> None:
+    """Files of exactly ``size`` records, the last one of the rest: record ``pos`` of the whole table,
+    in the given order, is in the folder ``chunk=(pos - 1) div size``, which holds one file, sorted.
+    A line is the position, a tab and the text; line breaks inside a text become spaces."""
+    line = F.regexp_replace(column, r"[\r\n\t]+", " ").alias("value")
+    placed = with_position(df.select(*order, line), order)
+    chunks = placed.select("pos", "value", F.expr(f"(pos - 1) div {size}").alias("chunk"))
+    # A chunk is one task's work, however many there are.
+    dealt = chunks.repartition("chunk").sortWithinPartitions("chunk", "pos")
+    dealt.write.mode("overwrite").partitionBy("chunk").option("sep", "\t").csv(path)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
+from gristmill.sources import rolled
+
 AVAILABLE = {"availableNow": True}
 
 
@@ -108,6 +110,17 @@ def to_csv(
     return writer.trigger(**trigger).start()
 
 
+def to_rolled(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = "1 minute", **options
+) -> StreamingQuery:
+    """Append files that end at a size or an age (``sources.rolled``), with names of one's own;
+    ``every=None`` works off what is available and ends."""
+    rolled.register(stream.sparkSession)
+    writer = stream.writeStream.outputMode("append").format("rolled").options(path=path, **options)
+    trigger = {"processingTime": every} if every else AVAILABLE
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def read_batches(
     spark: SparkSession, path: str, schema: StructType, format: str = "parquet"
 ) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gristmill.operators import graph
+from gristmill.operators import graph, graph_store
 from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
+from gristmill.session import scratch
 
 
 def twin(body: str) -> str:
@@ -174,6 +175,55 @@ def graph_merge_edge(spark, folder):
     return graph.merge_edges(b.viewed(spark, folder), pairs).select("src", "dst", "views")
 
 
+def _stored(spark, folder):
+    """The graph as a store: nodes, and acting and viewing edges with all their properties."""
+    views = b.viewed(spark, folder).withColumn("roles", F.lit(None).cast("array<string>"))
+    acting = b.acted_in(spark, folder).select("src", "dst", "type").distinct()
+    edges = views.unionByName(acting, allowMissingColumns=True)
+    return graph_store.create(spark, scratch(spark, "graph"), b.nodes(spark, folder), edges, buckets=16)
+
+
+@query(twin(f"""
+, asked AS (
+    SELECT p.id AS src, m.id AS dst FROM persons p, movies m
+    WHERE p.name = '{b.PERSON}' AND m.title = '{b.MOVIE}')
+SELECT COALESCE(v.src, q.src) AS src, COALESCE(v.dst, q.dst) AS dst,
+       COALESCE(v.views, 0) + CASE WHEN q.src IS NULL THEN 0 ELSE 2 END AS views
+FROM viewed v FULL JOIN asked q ON v.src = q.src AND v.dst = q.dst"""))
+def graph_stored_merge(spark, folder):
+    """All VIEWED edges of a stored graph after one person viewed every movie of one title twice;
+    each time only the buckets of those pairs are rewritten."""
+    store = _stored(spark, folder)
+    request = spark.createDataFrame([(b.PERSON, b.MOVIE)], "person string, movie string")
+    for _ in range(2):
+        graph_store.merge_edges(store, graph.resolve(store.table(graph_store.NODES), request))
+    return store.table(graph_store.EDGES).where("type = 'VIEWED'").select("src", "dst", "views")
+
+
+@query(twin(f"""
+, top AS (SELECT max(id) AS id FROM (SELECT id FROM persons UNION ALL SELECT id FROM movies))
+, all_nodes AS (
+    SELECT id, 'Person' AS labels, name, NULL AS title FROM persons
+    UNION ALL SELECT id, 'Movie', NULL, title FROM movies
+    UNION ALL SELECT id + 1, 'Person', '{b.PERSON}', NULL FROM top
+    UNION ALL SELECT id + 2, 'Movie', NULL, '{TAG["title"]}' FROM top)
+SELECT n.id, CASE WHEN n.id IN (SELECT id FROM ({RICH})) THEN 'Person,Rich' ELSE labels END AS labels, name, title,
+       CASE WHEN name = '{b.PERSON}' THEN '{PLACE}' END AS birthplace,
+       CASE WHEN n.id = t.id + 1 THEN '["Night Guard","Himself"]' END AS roles
+FROM all_nodes n, top t"""))
+def graph_stored_changes(spark, folder):
+    """All nodes of a stored graph after a new path, a property and a label, with the list of roles of
+    the new edge at the node it starts from."""
+    store = _stored(spark, folder)
+    rich = graph.rich(b.nodes(spark, folder), b.acted_in(spark, folder), b.TOTAL_EARNINGS)
+    graph_store.create_path(store, {"name": b.PERSON}, TAG, {"roles": ["Night Guard", "Himself"]})
+    graph_store.set_property(store, F.col("name") == b.PERSON, "birthplace", PLACE)
+    graph_store.add_label(store, rich, "Rich")
+    roles = store.table(graph_store.EDGES).where("roles IS NOT NULL").select(F.col("src").alias("id"), F.to_json("roles").alias("roles"))
+    nodes = store.table(graph_store.NODES).join(roles, "id", "left")
+    return nodes.select("id", F.array_join("labels", ",").alias("labels"), "name", "title", "birthplace", "roles")
+
+
 FIRST_WORD = "split_part(value, ' ', 1)"
 
 

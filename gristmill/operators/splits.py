@@ -110,3 +110,60 @@ def random_row(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """One row drawn by a digest of seed and key: the same row whatever the partitioning."""
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")).cast("binary"))
     return df.orderBy(digest, key).limit(1)
+
+
+#: Bits of a digest that are counted at a time, and digest bits in all.
+STEP_BITS, DIGEST_BITS = 12, 60
+
+
+def digest(*key: str, seed: int = 42) -> Column:
+    """A number of ``DIGEST_BITS`` bits from seed and key; null parts are told from empty ones."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(k).cast("string")), F.lit("")) for k in key]
+    text = F.concat_ws(":", F.lit(str(seed)), *parts)
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, DIGEST_BITS // 4), 16, 10).cast("bigint")
+
+
+def smallest_digests(rows: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> tuple[int, int]:
+    """``(bound, extra)``: the ``n`` smallest digests are all those below the bound and ``extra`` of
+    those that equal it.
+
+    The bound is found by counting: each pass counts the rows by the next ``STEP_BITS`` bits
+    among the rows whose digest begins like the bound, so a pass returns a few thousand
+    numbers and no row moves.
+    """
+    if n <= 0:
+        return 0, 0
+    found, rest = 0, n
+    digests = rows.select(digest(*key, seed=seed).alias("d"))
+    for low in range(DIGEST_BITS - STEP_BITS, -1, -STEP_BITS):
+        begins = F.shiftrightunsigned("d", low + STEP_BITS) == F.lit(found).cast("bigint")
+        part = F.shiftrightunsigned("d", low).bitwiseAND(F.lit((1 << STEP_BITS) - 1))
+        counts = dict(digests.where(begins).groupBy(part.alias("p")).count().collect())
+        for p in sorted(counts):
+            if rest <= counts[p]:
+                found = found << STEP_BITS | p
+                break
+            rest -= counts[p]
+        else:  # fewer than n rows
+            return 1 << DIGEST_BITS, 0
+    return found, rest
+
+
+def exact_split(df: DataFrame, *key: str, share: float = 0.9, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Two parts, the first of exactly ``round(share * rows)`` rows (halves up): those with the
+    smallest digests of their key. The same rows whatever the partitioning and after the loss of
+    an executor. Rows of one digest (repeated keys) that the bound parts are told apart by all
+    their columns; whole repeats are then split by number."""
+    total = df.count()
+    bound, extra = smallest_digests(df, key, int(total * share + 0.5), seed)
+    own = digest(*key, seed=seed)
+    first, second = df.where(own < bound), df.where(own > bound)
+    ties = df.where(own == bound)
+    if extra == 0:
+        return first, second.unionByName(ties)
+    # Rows of one digest: of one key, or of so few that their number does not grow with the table.
+    whole = F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    ranked = with_position(ties.withColumn("_whole", whole), ["_whole"], "_rank")
+    kept = ranked.where(F.col("_rank") <= extra).drop("_whole", "_rank")
+    left = ranked.where(F.col("_rank") > extra).drop("_whole", "_rank")
+    return first.unionByName(kept), second.unionByName(left)

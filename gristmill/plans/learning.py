@@ -54,6 +54,20 @@ def random_row(spark, folder):
     return splits.random_row(b.articles(spark, folder), "doc_id", seed=7).select("doc_id", "url", "title")
 
 
+ORDER_DIGEST = "('0x' || substr(md5('42:=' || CAST(o_orderkey AS VARCHAR)), 1, 15))::BIGINT"
+
+
+@query(f"""
+SELECT o_orderkey, o_custkey,
+       row_number() OVER (ORDER BY {ORDER_DIGEST}, o_orderkey) > floor(count(*) OVER () * 0.9 + 0.5) AS is_test
+FROM orders""")
+def exact_split(spark, folder):
+    """Nine tenths of the orders and the rest, of exact sizes, by the order of a digest."""
+    orders = b.table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    train, test = splits.exact_split(orders, "o_orderkey")
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
 SHARED = '"Year", "Month", "UniqueCarrier", "Origin", "Dest", "ArrDelay", l_orderkey, l_linenumber'
 
 
@@ -66,7 +80,9 @@ def union_years(spark, folder):
     whole.withColumn("_part", F.col("Year")).write.partitionBy("_part").parquet(base)
     years = [r[0] for r in spark.read.parquet(base).select("_part").distinct().orderBy("_part").collect()]
     none = whole.where(F.lit(False))
-    parts = [spark.read.schema(whole.schema).parquet(f"{base}/_part={y}") for y in years if y is not None]
+    # Rows without a year have a folder of their own, under Spark's name for null.
+    names = ["__HIVE_DEFAULT_PARTITION__" if y is None else y for y in years]
+    parts = [spark.read.schema(whole.schema).parquet(f"{base}/_part={y}") for y in names]
     return splits.union_all(none, *parts)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.operators import rules
+from gristmill.operators.order import with_position
 
 # The columns of a flight and those used as features.
 FLIGHT_COLUMNS = (
@@ -63,6 +64,29 @@ def index_strings(rows: DataFrame, columns: Sequence[str] = CATEGORIES) -> Pipel
     return Pipeline(stages=[indexer]).fit(rows)
 
 
+def index_table(rows: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
+    """``field``, ``value``, ``idx``: the frequency index of every value of the columns, the most frequent
+    first, ties by value. A table like any other: values are counted, ranked by one range
+    sort and never collected, however many there are. Nulls have no index."""
+    values = [F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]
+    counted = rows.select(F.inline(F.array(*values))).where("value IS NOT NULL")
+    ranks = counted.groupBy("field", "value").agg((-F.count(F.lit(1))).alias("_less"))
+    placed = with_position(ranks, ["field", "_less", "value"], "_pos")
+    # One row per column.
+    first = placed.groupBy("field").agg(F.min("_pos").alias("_first"))
+    return placed.join(F.broadcast(first), "field").select(
+        "field", "value", (F.col("_pos") - F.col("_first")).cast("double").alias("idx")
+    )
+
+
+def indexed_by(rows: DataFrame, table: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
+    """Add ``<column>_index`` from a table of ``index_table``; rows with a value it lacks go."""
+    for c in columns:
+        own = table.where(F.col("field") == c).select(F.col("value").alias("_value"), F.col("idx").alias(f"{c}_index"))
+        rows = rows.join(own, rows[c].cast("string") == own["_value"]).drop("_value")
+    return rows
+
+
 def assemble(rows: DataFrame, columns: Sequence[str], invalid: str = "skip") -> DataFrame:
     return VectorAssembler(
         inputCols=list(columns), outputCol="features", handleInvalid=invalid

@@ -10,7 +10,7 @@ from gristmill.plans import bindings as b
 from gristmill.plans.registry import query
 from gristmill.plans.words import LETTERS_SQL, PLAIN_SQL
 from gristmill.session import scratch
-from gristmill.sources import readers, rolled, writers
+from gristmill.sources import collection, readers, rolled, writers
 from gristmill.streaming import runs
 
 ARTICLE_SQL = f"""
@@ -202,3 +202,18 @@ def exact_chunks(spark, folder):
         F.max("pos").alias("last"),
         F.count_distinct(F.col("_metadata.file_path")).alias("files"),
     )
+
+
+@query(f"""
+SELECT title, CAST(comment_count AS INTEGER) AS comment_count, lang AS first_tag FROM ({b.ARTICLES_SQL})
+WHERE comment_count > 100""")
+def collection_fields(spark, folder):
+    """Three fields of the articles of a loaded collection: two have columns, the third is read out of
+    the documents."""
+    path = scratch(spark, "collection")
+    whole = b.articles(spark, folder).drop("doc_id")
+    texts = whole.select(F.to_json(F.struct(*whole.columns), {"ignoreNullFields": "false"}).alias("value"))
+    collection.load(texts, path, {"title": "string", "comment_count": "int"})
+    found = collection.Collection(spark, path)
+    out = found.find("title", "comment_count", ("tags[0]", "string"), where=found.field("comment_count") > 100)
+    return out.toDF("title", "comment_count", "first_tag")

@@ -106,15 +106,28 @@ def delay_features(spark, folder):
         FROM ({ROWS_SQL}) GROUP BY "{c}" """
     for c in models.CATEGORIES))
 def string_index(spark, folder):
-    rows = models.delay_rows(b.flights(spark, folder))
-    indexed = models.index_strings(rows).transform(rows)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(c).alias("field"), F.col(c).alias("value"), F.col(f"{c}_index").alias("idx"))
-            for c in models.CATEGORIES
-        ]
-    )
-    return indexed.select(F.inline(pairs)).distinct()
+    """Every label with its index."""
+    return models.index_table(models.delay_rows(b.flights(spark, folder)))
+
+
+FLIGHT_KEY = ("l_orderkey", "l_linenumber")
+INDEX_SQL = " ".join(
+    f"""JOIN (SELECT "{c}" AS v{c}, CAST(row_number() OVER (ORDER BY count(*) DESC, "{c}") - 1 AS DOUBLE) AS "{c}_index"
+        FROM flown GROUP BY "{c}") ON v{c} = "{c}" """
+    for c in models.CATEGORIES
+)
+
+
+@query(f"""
+WITH flown AS (
+    SELECT l_orderkey, l_linenumber, "UniqueCarrier", "Origin", "Dest" FROM ({b.FLIGHTS_SQL})
+    WHERE "Cancelled" = 0 AND TRY_CAST("ArrDelay" AS DOUBLE) IS NOT NULL)
+SELECT l_orderkey, l_linenumber, {", ".join(f'"{c}_index"' for c in models.CATEGORIES)} FROM flown {INDEX_SQL}""")
+def indexed_flights(spark, folder):
+    """Every flight with the indexes of its labels."""
+    rows = models.delay_rows(b.flights(spark, folder), keep=FLIGHT_KEY).checkpoint()
+    indexed = models.indexed_by(rows, models.index_table(rows))
+    return indexed.select(*FLIGHT_KEY, *[f"{c}_index" for c in models.CATEGORIES])
 
 
 def _delay_split(spark, folder, keep=()):
@@ -126,7 +139,6 @@ def _delay_split(spark, folder, keep=()):
 
 IN_TEST = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_linenumber"))
 TEST_SQL = f"substr(md5('42:' || {IN_TEST}), 1, 1) IN ('0', '8')"
-FLIGHT_KEY = ("l_orderkey", "l_linenumber")
 GATE = 0.55
 FOREST = {"trees": 5, "size": 6, "depth": 4, "least": 100}
 # Flown rows with categories as the train rows' frequency indexes; a row without a number or

@@ -124,3 +124,19 @@ def test_subspace_forest_does_not_depend_on_partitions(spark):
     assert got[0] == got[1] and len(got[0]) == data.count()
     right = models.accuracy(predicted).first()["accuracy"]
     assert right > 0.75
+
+
+def test_an_index_of_many_labels_collects_nothing(spark):
+    rows = spark.range(200_000).select(
+        F.concat(F.lit("v"), F.col("id") % 150_000).alias("a"),
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id").cast("string")).alias("b"),
+    )
+    table = models.index_table(rows, ["a", "b"])
+    got = table.groupBy("field").agg(F.count("*"), F.count_distinct("idx"), F.min("idx"), F.max("idx")).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == {"a": (150_000, 150_000, 0.0, 149_999.0), "b": (66_667, 66_667, 0.0, 66_666.0)}
+    assert table.where("idx = 0").orderBy("field").collect()[1]["value"] == "hot"
+    twice = table.where("field = 'a' and idx < 50000").join(rows.select(F.col("a").alias("value")), "value").count()
+    assert twice == 100_000  # labels that occur twice come first
+    out = models.indexed_by(rows, table, ["a", "b"])
+    assert out.count() == rows.where("b is not null").count()
+    assert out.where("b = 'hot'").select("b_index").distinct().collect()[0][0] == 0.0

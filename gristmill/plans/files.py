@@ -217,3 +217,39 @@ def collection_fields(spark, folder):
     found = collection.Collection(spark, path)
     out = found.find("title", "comment_count", ("tags[0]", "string"), where=found.field("comment_count") > 100)
     return out.toDF("title", "comment_count", "first_tag")
+
+
+@query("SELECT CAST(c_custkey AS INTEGER) AS id, c_name AS name FROM customer")
+def space_names(spark, folder):
+    """Names in quotes after a number and a space, read with a declared schema."""
+    path = scratch(spark, "space")
+    lines = b.table(spark, folder, "customer").select(F.concat(F.col("c_custkey").cast("string"), F.lit(' "'), "c_name", F.lit('"')).alias("value"))
+    writers.write_lines(lines, path)
+    return readers.read_delimited(spark, path, "id int, name string", sep=" ")
+
+
+@query("""
+SELECT 's' || CAST(o_custkey AS VARCHAR) || chr(9) || printf('%.2fC', max(CAST(o_orderkey AS DOUBLE)) * 0.1) AS line
+FROM orders GROUP BY o_custkey""")
+def degree_lines(spark, folder):
+    """The largest reading of each station in degrees, printed with two decimals."""
+    orders = b.table(spark, folder, "orders")
+    lines = orders.select(
+        F.concat(F.lit("s"), F.col("o_custkey").cast("string"), F.lit(",18000101,TMAX,"), F.col("o_orderkey").cast("string")).alias("value")
+    )
+    return tables.degree_lines(tables.extreme_by_station(tables.readings(lines), "TMAX"))
+
+
+@query("""
+SELECT i AS batch, count(o_orderkey) AS n
+FROM range(4) r(i) LEFT JOIN orders ON o_orderkey % 4 = i GROUP BY i""")
+def one_file_per_trigger(spark, folder):
+    """Rows per batch of a stream that takes one file at a time, oldest first."""
+    base = scratch(spark, "files")
+    orders = b.table(spark, folder, "orders").select("o_orderkey")
+    for i in range(4):
+        orders.where(F.col("o_orderkey") % 4 == i).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    runs.finish(runs.write_batches(stream, f"{base}/out", f"{base}/checkpoint"))
+    found = runs.read_batches(spark, f"{base}/out", orders.schema)
+    return found.groupBy(F.col("batch_id").alias("batch")).agg(F.count("o_orderkey").alias("n"))

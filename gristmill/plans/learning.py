@@ -295,3 +295,11 @@ def mean_abs_error(spark, folder):
     rows = b.houses(spark, folder).withColumn("prediction", 1000 + F.col("HouseAge"))
     error = models.mean_abs_error(rows, "PriceOfUnitArea")
     return error.select(F.round("mean_abs_error", 4).alias("mean_abs_error"))
+
+
+@query(f"SELECT 100::BIGINT AS parts, count(*) AS n FROM ({ROWS_SQL})")
+def hundred_partitions(spark, folder):
+    """The flights dealt into a hundred partitions, none of them empty."""
+    rows = models.delay_rows(b.flights(spark, folder), partitions=100)
+    parts = rows.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    return parts.agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))

@@ -131,10 +131,13 @@ def indexed_flights(spark, folder):
 
 
 def _delay_split(spark, folder, keep=()):
-    keyed = b.flights(spark, folder)
-    key = F.concat_ws(":", F.lit("42"), *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber")])
-    test = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
-    return models.delay_rows(keyed.where(~test), keep=keep), models.delay_rows(keyed.where(test), keep=keep)
+    """Train and test rows, by a digest of their key. The rows are joined and typed once and written;
+    indexes, fits and predictions read them from there."""
+    key = F.concat_ws(":", F.lit("42"), *[F.col(c).cast("string") for c in FLIGHT_KEY])
+    held = F.substring(F.md5(key.cast("binary")), 1, 1).isin("0", "8")
+    rows = models.delay_rows(b.flights(spark, folder), keep=FLIGHT_KEY).withColumn("_held", held).checkpoint()
+    dropped = [c for c in ("_held", *FLIGHT_KEY) if c not in keep]
+    return rows.where(~F.col("_held")).drop(*dropped), rows.where("_held").drop(*dropped)
 
 
 IN_TEST = " || ':' || ".join(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_linenumber"))

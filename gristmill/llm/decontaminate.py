@@ -19,8 +19,9 @@ operations; texts are shuffled once by document, windows not at all. More short
 may be broadcast cost a shuffle of the documents' shingles.
 
 Items with fewer than five words have no shingle and are never found; the same holds for
-such documents, and for null and empty texts. Repeated documents give repeated rows;
-repeated items with one id count once.
+such documents, and for null and empty texts. Repeated documents give repeated rows. An item
+is its id and its text: repeats of both count once, two texts of one id are two items and
+give a row each, and items without an id are found like others.
 """
 
 from __future__ import annotations
@@ -53,14 +54,14 @@ def partition_of(size: Column, base: int = BASE) -> Column:
 
 
 def _probes(short: DataFrame, threshold: float) -> DataFrame:
-    """``h`` and ``item``: of each item so many shingles that a document at the threshold has
+    """``h`` and ``ref``: of each item so many shingles that a document at the threshold has
     one of them, those that the fewest items have."""
     lacking = F.floor(F.size("held") * (1 - threshold) + 1e-9)
-    each = short.select("item", lacking.alias("lacking"), F.explode("held").alias("h"))
+    each = short.select("ref", lacking.alias("lacking"), F.explode("held").alias("h"))
     shared = each.groupBy("h").agg(F.count("*").alias("n"))
-    rarest = Window.partitionBy("item").orderBy("n", "h")
+    rarest = Window.partitionBy("ref").orderBy("n", "h")
     ranked = each.join(shared, "h").withColumn("rank", F.row_number().over(rarest))
-    return ranked.where(F.col("rank") <= F.col("lacking") + 1).select("h", "item")
+    return ranked.where(F.col("rank") <= F.col("lacking") + 1).select("h", "ref")
 
 
 def find_items(
@@ -88,40 +89,47 @@ def _held_items(
 ) -> DataFrame:
     """The rows of ``find_items`` with the ``KEYS`` of the document."""
     prepared(docs.sparkSession)
+    named = items.select(F.col(item_key).alias("item"), F.col(item_text).cast("string").alias("_t"))
+    # The id as text, marked, so that no id equals a missing one.
+    known = F.when(F.col("item").isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col("item").cast("string")))
+    named = named.withColumn("ref", F.xxhash64(known, "_t"))
     tests = (
-        with_shingles(items.select(F.col(item_key).alias("item"), F.col(item_text).alias("_t")), "_t", WIDTH, "held")
-        .select("item", F.array_distinct("held").alias("held"))
-        .dropDuplicates(["item"])
+        with_shingles(named, "_t", WIDTH, "held")
+        .select("ref", "item", F.array_distinct("held").alias("held"))
+        .dropDuplicates(["ref"])
         .checkpoint()
         .where(F.size("held") > 0)
         .withColumn("class", partition_of(F.size("held")))
     )
     # Partitions grow by powers of two, so there are few of them.
     is_short = F.size("held") <= SHORT
-    facts = tests.groupBy("class", is_short.alias("short")).count().collect()
+    facts = tests.groupBy("class", is_short.alias("short")).agg(
+        F.count("*").alias("count"), F.sum(F.size("held")).alias("size")
+    ).collect()
     classes = sorted({row["class"] for row in facts if not row["short"]})
     if not facts:
         nothing = F.lit(None).cast(items.schema[item_key].dataType).alias("item")
         return dealt_texts(docs.where("false"), text, key).select(*KEYS, nothing, F.lit(0.0).alias("containment"))
     dealt = dealt_texts(docs, text, key)
-    small = sum(row["count"] for row in facts) * 64 * 64 <= BROADCAST_BYTES
+    # Bytes of the signatures, and of the shingles that the verification sends.
+    small = sum(64 * 64 * row["count"] + 16 * row["size"] for row in facts) <= BROADCAST_BYTES
     ways = []
     if classes:
-        values = signature_values(set_signatures(tests.where(~is_short), ["item", "class"], "held"), ["item", "class"])
+        values = signature_values(set_signatures(tests.where(~is_short), ["ref", "class"], "held"), ["ref", "class"])
         values = F.broadcast(values) if small else values
         windows = signature_values(window_signatures(dealt, WIDTH, BASE, classes), [*KEYS, "class"])
-        ways.append(windows.join(values, ["class", "value"]).select(*KEYS, "item"))
+        ways.append(windows.join(values, ["class", "value"]).select(*KEYS, "ref"))
     if any(row["short"] for row in facts):
         probes = _probes(tests.where(is_short), threshold)
         probes = F.broadcast(probes) if small else probes
         grams = with_shingles(dealt, "_text", WIDTH).select(*KEYS, F.explode_outer("shingles").alias("h"))
-        ways.append(grams.join(probes, "h").select(*KEYS, "item"))
+        ways.append(grams.join(probes, "h").select(*KEYS, "ref"))
     candidates = reduce(DataFrame.unionByName, ways)
-    asked = candidate_texts(dealt, candidates, "item")
+    asked = candidate_texts(dealt, candidates, "ref")
     spoken = with_shingles(asked, "_text", WIDTH, "has").select(*KEYS, F.array_distinct("has").alias("has"), "_all")
-    pairs = spoken.select(*KEYS, "has", F.explode_outer("_all").alias("item"))
-    held = tests.select("item", "held")
-    both = pairs.join(F.broadcast(held) if small else held, "item")
+    pairs = spoken.select(*KEYS, "has", F.explode_outer("_all").alias("ref"))
+    held = tests.select("ref", "item", "held")
+    both = pairs.join(F.broadcast(held) if small else held, "ref")
     share = F.size(F.array_intersect("held", "has")) / F.size("held")
     return both.select(*KEYS, "item", share.alias("containment")).where(F.col("containment") >= threshold)
 

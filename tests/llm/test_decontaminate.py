@@ -123,3 +123,44 @@ def test_licenses_against_brute_force(spark):
     got = {(r.doc_id, r.license): r.containment for r in license_scan.find_licenses(asked).collect()}
     assert got == brute(docs, license_scan.TEMPLATES)
     assert license_scan.find_licenses(asked.where("false")).count() == 0
+
+
+def test_items_of_one_id_or_none_are_all_found(spark):
+    draw = random.Random(8)
+    some = lambda n: " ".join(draw.choices([f"v{i}" for i in range(4000)], k=n))
+    texts = [some(n) for n in (9, 40, 12, 60)]
+    items = spark.createDataFrame(list(zip([1, 1, None, None], texts)) + [(1, texts[0])], "item_id long, text string")
+    bodies = [f"{some(300)} {t} {some(300)}" for t in texts] + [some(600)]
+    docs = spark.createDataFrame(list(enumerate(bodies)), "doc_id long, text string")
+    found = decontaminate.find_items(docs, items).collect()
+    assert sorted((r["doc_id"], str(r["item"]), r["containment"]) for r in found) == [
+        (0, "1", 1.0), (1, "1", 1.0), (2, "None", 1.0), (3, "None", 1.0)
+    ]
+    assert [r["doc_id"] for r in decontaminate.without_items(docs, items).collect()] == [4]
+    # A document that holds two items of one id has a row for each.
+    both = spark.createDataFrame([(7, f"{texts[0]} {some(50)} {texts[1]}")], "doc_id long, text string")
+    assert decontaminate.find_items(both, items).count() == 2
+
+
+def test_hash_functions_miss_no_more_than_the_formula(spark):
+    """Windows of 16 shingles of which 4 are shared: a miss has chance (1 - 4 / 28)^64 = 5e-5."""
+    from pyspark.sql import functions as F
+
+    from gristmill.llm.windows import set_signatures, signature_values
+
+    pairs = spark.range(4000).select("id", F.sequence(F.lit(0), F.lit(15)).alias("s"))
+    one = pairs.select("id", F.transform("s", lambda i: F.xxhash64("id", i)).alias("h"))
+    two = pairs.select("id", F.transform("s", lambda i: F.xxhash64("id", i + 12)).alias("h"))
+    values = [signature_values(set_signatures(x, ["id"], "h"), ["id"]) for x in (one, two)]
+    met = values[0].join(values[1], ["id", "value"]).select("id").distinct().count()
+    assert met >= 3995
+    # Unrelated sets meet by chance only.
+    other = values[1].withColumn("id", F.col("id") + 1)
+    assert values[0].join(other, ["id", "value"]).count() <= 20
+
+
+def test_templates_can_be_given(spark):
+    docs = spark.createDataFrame([(1, "this text is Licensed  under our very own house terms, indeed")], "doc_id long, text string")
+    found = license_scan.find_licenses(docs, templates={"house": "licensed under our very own house terms"}).collect()
+    assert [(r["license"], r["containment"]) for r in found] == [("house", 1.0)]
+    assert license_scan.find_licenses(docs).count() == 0

@@ -12,8 +12,9 @@ Blocks of candidates meet blocks of queries; every block pair is one task's work
 size, and the best k of each are merged. Nothing is fitted on the data.
 
 Vectors that are null, zero, or hold null or non-finite components take no part, neither
-do rows without an id. Vectors of other dimensions are never compared. Repeated rows count
-once. Of equal vectors only the k + 1 smallest ids can be in a result, so only they are
+do rows without an id. Vectors of other dimensions are never compared. Rows that repeat id
+and vector count once; other vectors of one id are rows of their own: each can be found, by
+the others too, and each that asks has results of its own under the same id. Of equal vectors only the k + 1 smallest ids can be in a result, so only they are
 indexed. Ties go to the smaller id. A query with fewer candidates than k gets them all; a
 query without candidates and an empty table give no row.
 """
@@ -93,15 +94,17 @@ class Tree:
 
 
 def search(
-    vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, k: int
+    vectors: np.ndarray, ids: np.ndarray, rows_of: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, k: int
 ) -> list[tuple[int, int, float]]:
-    """(query id, id, cosine) of the best k per query among the rows of one block."""
+    """(query's place, id, cosine) of the best k per query among the rows of one block; ``rows_of`` and
+    ``query_rows`` mark the rows, so that a query does not find itself."""
     norms = np.sqrt(np.sum(vectors * vectors, axis=1))
     own = np.sqrt(np.sum(queries * queries, axis=1))
     unit = vectors / norms[:, None]
     project = directions(vectors.shape[1])
     tree = Tree(unit @ project)
     unit, ids, vectors, norms = unit[tree.order], ids[tree.order], vectors[tree.order], norms[tree.order]
+    rows_of = rows_of[tree.order]
     ratio = stop_ratio(CONFIDENCE, PROJECTED)
     units = queries / own[:, None]
     projected = units @ project
@@ -118,7 +121,7 @@ def search(
                 break
             leaves = turn[done : done + step]
             rows = np.concatenate([np.arange(a, b) for a, b in tree.bounds[leaves]])
-            rows = rows[ids[rows] != query_ids[q]]
+            rows = rows[rows_of[rows] != query_rows[q]]
             near = unit[rows] @ units[q]
             cosines[rows] = near
             best = np.sort(np.concatenate([best, near]))[-k:]
@@ -127,7 +130,7 @@ def search(
         chosen = np.flatnonzero((cosines >= best[0] - 1e-9) & np.isfinite(cosines))
         exact = np.sum(vectors[chosen] * queries[q], axis=1) / (norms[chosen] * own[q])
         rank = np.lexsort((ids[chosen], -exact))[:k]
-        found += [(int(query_ids[q]), int(ids[chosen[r]]), float(exact[r])) for r in rank]
+        found += [(q, int(ids[chosen[r]]), float(exact[r])) for r in rank]
     return found
 
 
@@ -163,15 +166,16 @@ def nearest(
         )
         .where(F.col("id").isNotNull() & usable(F.col("v")))
         .withColumn("dim", F.size("v"))
+        .withColumn("row", F.xxhash64("id", "v"))
+        .dropDuplicates(["id", "v"])
     )
-    asked = table.where("asks").dropDuplicates(["id"]).select("dim", F.col("id").alias("query_id"), "v")
+    asked = table.where("asks").select("dim", F.col("id").alias("query_id"), F.col("row").alias("query_row"), "v")
     same = Window.partitionBy("dim", "h", "v").orderBy("id")
     kept = (
-        table.dropDuplicates(["id"])
-        .withColumn("h", F.xxhash64("v"))
+        table.withColumn("h", F.xxhash64("v"))
         .withColumn("n", F.row_number().over(same))
         .where(F.col("n") <= k + 1)
-        .select("dim", "id", "v")
+        .select("dim", "id", "row", "v")
     )
     sizes = table.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asks").alias("q"))
     sizes = sizes.select(
@@ -185,6 +189,7 @@ def nearest(
         F.pmod(F.xxhash64("id"), F.col("cs")).cast("int").alias("c"),
         F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"),
         "id",
+        "row",
         "v",
     )
     right = asked.join(sizes, "dim").select(
@@ -192,6 +197,7 @@ def nearest(
         F.explode(F.sequence(F.lit(0), F.col("cs") - 1)).alias("c2"),
         F.pmod(F.xxhash64("query_id"), F.col("qs")).cast("int").alias("q2"),
         "query_id",
+        "query_row",
         F.col("v").alias("w"),
     )
 
@@ -202,22 +208,25 @@ def nearest(
             out = search(
                 _matrix(a["v"]).reshape(-1, size),
                 a["id"].to_numpy(),
+                a["row"].to_numpy(),
                 _matrix(b["w"]).reshape(-1, size),
-                b["query_id"].to_numpy(),
+                b["query_row"].to_numpy(),
                 k,
             )
+        asks = pa.array([x[0] for x in out], pa.int64())
         return pa.table(
             {
-                "query_id": pa.array([x[0] for x in out], pa.int64()),
+                "query_id": b["query_id"].take(asks),
+                "query_row": b["query_row"].take(asks),
                 "id": pa.array([x[1] for x in out], pa.int64()),
                 "score": pa.array([x[2] for x in out], pa.float64()),
             }
         )
 
     near = left.groupBy("dim", "c", "q").cogroup(right.groupBy("dim2", "c2", "q2")).applyInArrow(
-        pair, "query_id bigint, id bigint, score double"
+        pair, "query_id bigint, query_row bigint, id bigint, score double"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "id")
     return (
         near.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -85,3 +85,15 @@ def test_tree_holds_every_row():
     far = tree.distances(points[0])
     for (a, b), d in zip(tree.bounds, far, strict=True):
         assert (((points[tree.order[a:b]] - points[0]) ** 2).sum(axis=1) >= d - 1e-9).all()
+
+
+def test_vectors_of_one_id_are_rows_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [1.0, 0.0]), (1, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [-1.0, 0.0])]
+    df = spark.createDataFrame([(i, v, 0, "a", "b", "c") for i, v in rows], SCHEMA)
+    got = nn.nearest(df, F.col("vec_id") % 50 == 0, k=3).collect()
+    found = sorted((r.rank, r.vec_id, round(r.score, 6)) for r in got)
+    assert {r.query_id for r in got} == {0} and len(got) == 6
+    near = round(1 / math.sqrt(1.01), 6)
+    side = round(0.1 / math.sqrt(1.01), 6)
+    # The first vector finds (1, 0.1), then its namesake and (0, 1); the second (0, 1) first.
+    assert found == sorted([(1, 1, near), (2, 0, 0.0), (3, 1, 0.0), (1, 1, 1.0), (2, 1, side), (3, 0, 0.0)])

@@ -10,8 +10,13 @@ span touches is a secret. The programme looks back ``WINDOW`` characters at most
 long value costs time in proportion to its length. Words cost by their rank among the words
 of all documents (``ranked_words``) and among a few of passwords. Values behind credential
 words, and words that one text alone holds (with its copies), are not counted there, so a
-secret does not make itself a cheap word. A rare word of ten letters or more costs as much
-as any other ten letters.
+secret does not make itself a cheap word. The ``ranked`` most frequent words are a model of
+bounded size; a rarer word costs as much as any other letters. What a text's values cost
+thus depends on the other texts: pass the same ranks to scan a part again alike.
+
+Addresses and running text are not guessed as a whole: a value with white space in it, a
+URL or a mail address is as costly as its costliest part between separators, so a token in a
+URL is found while the URL of a page and a quoted sentence are not.
 
 Null and empty texts have no span. Repeated rows give repeated rows.
 """
@@ -59,8 +64,11 @@ WORDS = (
     " the and you for your none null true false undefined required optional string value placeholder"
 ).split()
 RANK = {word: i + 1 for i, word in enumerate(WORDS)}
-#: Words of the documents that are ranked at most; whole groups of equally frequent ones.
+#: Words of the documents that are ranked, unless told otherwise: the size of the model.
 RANKED = 50_000
+#: Values that are judged by their parts, and what stands between the parts.
+ADDRESS = re.compile(r"(?ai)[a-z][a-z0-9+.-]*://\S+|www\.\S+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|[~.]{0,2}/\S+")
+BETWEEN = re.compile(r"[\s/?&=:;,.@#|()\[\]<>]+")
 LETTERS = re.compile(r"[^\W\d_]{3,}")
 ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4@3150$7!", "aaeisost" + "i")
@@ -135,6 +143,13 @@ def guess_bits(value: str, rank_of: Mapping[str, int] = RANK) -> float:
     return cost[n]
 
 
+def value_bits(value: str, rank_of: Mapping[str, int] = RANK) -> float:
+    """The cost of a value, or of its costliest part if it is an address or running text."""
+    if ADDRESS.fullmatch(value) or re.search(r"\s", value.strip()):
+        return max((guess_bits(part, rank_of) for part in BETWEEN.split(value) if part), default=0.0)
+    return guess_bits(value, rank_of)
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """Start, kind number and end of the spans found by pattern."""
     spans = [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
@@ -156,7 +171,7 @@ def guess_spans(
         start, end = m.span(group)
         if any(s < end and start < e for s, _, e in base):
             continue
-        if guess_bits(m[group], rank_of) >= MIN_BITS:
+        if value_bits(m[group], rank_of) >= MIN_BITS:
             spans.append((start, 3, end))
     return spans
 
@@ -201,8 +216,9 @@ def common_words(text: str) -> set[str]:
     return {w for w in LETTERS.findall(low) if len(w) <= WINDOW}
 
 
-def ranked_words(docs: DataFrame, text: str = "text") -> dict[str, int]:
-    """Ranks of the words that the most texts hold, two different texts at least, and of ``WORDS``."""
+def ranked_words(docs: DataFrame, text: str = "text", ranked: int = RANKED) -> dict[str, int]:
+    """Ranks of the ``ranked`` words that the most texts hold, two different texts at least (ties by
+    word), and of ``WORDS``."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -220,23 +236,17 @@ def ranked_words(docs: DataFrame, text: str = "text") -> dict[str, int]:
 
     each = map_arrow(docs.select(F.col(text).alias("_text")), "word string, n bigint, low bigint, high bigint", rows)
     sums = each.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    counts = sums.where("low <> high").select("word", "n").checkpoint()
-    least, total = 0, 0
-    # One row per frequency, so the driver sees few; the words themselves are bounded.
-    for row in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
-        total += row["words"]
-        if total > RANKED:
-            break
-        least = row["n"]
-    words = counts.where(F.col("n") >= least).collect() if least else []
-    ranks = {r["word"]: i + 1 for i, r in enumerate(sorted(words, key=lambda r: (-r["n"], r["word"])))}
+    words = sums.where("low <> high").select("word", "n").orderBy(F.desc("n"), "word").limit(ranked).collect()
+    ranks = {r["word"]: i + 1 for i, r in enumerate(words)}
     return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in RANK.items()}
 
 
-def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", clean: bool = False) -> DataFrame:
+def scan_secrets(
+    docs: DataFrame, text: str = "text", key: str = "doc_id", clean: bool = False, ranks: Mapping[str, int] | None = None
+) -> DataFrame:
     """One row per input row: ``key``, ``found`` (array of kind, start, end; code points, end
-    exclusive) and, if ``clean``, ``clean_text``."""
-    ranks = ranked_words(docs, text)
+    exclusive) and, if ``clean``, ``clean_text``. Words are ranked over ``docs`` unless ``ranks`` are given."""
+    ranks = ranked_words(docs, text) if ranks is None else ranks
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -253,9 +263,9 @@ def scan_secrets(docs: DataFrame, text: str = "text", key: str = "doc_id", clean
     return map_arrow(narrow, schema + ", clean_text string" * clean, rows).withColumnRenamed("_key", key)
 
 
-def redact_column(docs: DataFrame, text: str = "text") -> DataFrame:
+def redact_column(docs: DataFrame, text: str = "text", ranks: Mapping[str, int] | None = None) -> DataFrame:
     """The same rows and columns, with the secrets in ``text`` replaced."""
-    ranks = ranked_words(docs, text)
+    ranks = ranked_words(docs, text) if ranks is None else ranks
 
     def cleaned(values: pd.Series) -> pd.Series:
         return values.map(lambda t: redact(t, find_spans(t, ranks)))

@@ -3,6 +3,9 @@ from __future__ import annotations
 import hashlib
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from gristmill.llm import secret_scan as s
 from gristmill.llm.queries import LLM_QUERIES
 
@@ -122,3 +125,46 @@ def test_query_on_rows(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string")
     assert s.redact_column(docs).columns == docs.columns
     assert s.scan_secrets(docs.where("false"), clean=True).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "login: https://example.com/account/settings",
+        'The secret is "never give up on the people you love"',
+        "auth: John.Smith@example.com",
+        "login: www.example.org/welcome?next=/home",
+        "auth: /usr/local/share/example/config",
+    ],
+)
+def test_addresses_and_running_text_are_left_alone(text):
+    assert s.find_spans(text) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "value"),
+    [
+        ("login: https://example.com/reset?t=qzxvkjwmtrplbnhgfd", "https://example.com/reset?t=qzxvkjwmtrplbnhgfd"),
+        ("auth: 93847562018374650192", "93847562018374650192"),
+        ('pwd = "my qzxvkjwmtrplbnhgfd"', "my qzxvkjwmtrplbnhgfd"),
+    ],
+)
+def test_costly_parts_are_found_inside_them(text, value):
+    assert [text[a:b] for a, _, b in s.find_spans(text)] == [value]
+
+
+def test_the_given_prose_has_no_added_span_and_planted_values_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    ranks = s.ranked_words(docs)
+    added = lambda df: s.scan_secrets(df, ranks=ranks).where("exists(found, x -> x.kind = 'guess')")
+    assert added(docs).count() == 0
+    planted = docs.withColumn("text", F.concat("text", F.lit(" login: Xk9$vQ2!mZ7w#Lp4 end")))
+    assert added(planted).count() == docs.count()
+
+
+def test_ranks_have_the_asked_size_and_no_cliff(spark):
+    rows = [(f"alpha beta gamma delta {x}",) for x in ("one", "two", "three")]
+    docs = spark.createDataFrame(rows, "text string")
+    # Four words tie for the first place; two of them are ranked, by their letters.
+    ranks = s.ranked_words(docs, ranked=2)
+    assert set(ranks) - set(s.RANK) == {"alpha", "beta"}

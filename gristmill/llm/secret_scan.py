@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gristmill.llm.columns import map_arrow
+from gristmill.operators.splits import digest, smallest_digests
 
 # Fixed values of the task: patterns and least lengths.
 ASSIGN = re.compile(
@@ -217,8 +218,9 @@ def common_words(text: str) -> set[str]:
 
 
 def ranked_words(docs: DataFrame, text: str = "text", ranked: int = RANKED) -> dict[str, int]:
-    """Ranks of the ``ranked`` words that the most texts hold, two different texts at least (ties by
-    word), and of ``WORDS``."""
+    """Ranks of the ``ranked`` words that the most texts hold, two different texts at least, and of
+    ``WORDS``. Of words held by as many texts as the last one, those with the smallest digests
+    are taken; all words of one frequency are ranked in their own order."""
 
     def rows(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
@@ -236,7 +238,22 @@ def ranked_words(docs: DataFrame, text: str = "text", ranked: int = RANKED) -> d
 
     each = map_arrow(docs.select(F.col(text).alias("_text")), "word string, n bigint, low bigint, high bigint", rows)
     sums = each.groupBy("word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    words = sums.where("low <> high").select("word", "n").orderBy(F.desc("n"), "word").limit(ranked).collect()
+    counts = sums.where("low <> high").select("word", "n").checkpoint()
+    # One row per frequency: the last one that is ranked, and how many of its words.
+    rest, last = ranked, None
+    for row in sorted(counts.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True):
+        last = row["n"]
+        if row["words"] >= rest:
+            break
+        rest -= row["words"]
+    kept = counts.where(F.col("n") > last) if last is not None else counts.limit(0)
+    if last is not None:
+        ties = counts.where(F.col("n") == last)
+        bound, extra = smallest_digests(ties, ["word"], rest)
+        own = digest("word")
+        kept = kept.unionByName(ties.where((own < bound) | ((own == bound) & F.lit(extra > 0))))
+    # ``ranked`` words, and those few that share the last digest.
+    words = sorted(kept.collect(), key=lambda r: (-r["n"], r["word"]))
     ranks = {r["word"]: i + 1 for i, r in enumerate(words)}
     return ranks | {word: min(rank, ranks.get(word, rank)) for word, rank in RANK.items()}
 

@@ -37,6 +37,8 @@ CATEGORIES = ("UniqueCarrier", "Origin", "Dest")
 FEATURES = FLIGHT_COLUMNS[:11]
 #: Thresholds a tree tries per feature, and one: every value is told apart up to that many.
 BINS = 64
+#: Values of a column whose indexes are broadcast; any other value has at most one in so many rows.
+FREQUENT = 10_000
 
 
 def delay_rows(flights: DataFrame, partitions: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -79,11 +81,29 @@ def index_table(rows: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFra
     )
 
 
-def indexed_by(rows: DataFrame, table: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Add ``<column>_index`` from a table of ``index_table``; rows with a value it lacks go."""
+def indexed_by(
+    rows: DataFrame, table: DataFrame, columns: Sequence[str] = CATEGORIES, frequent: int = FREQUENT
+) -> DataFrame:
+    """Add ``<column>_index`` from a table of ``index_table``; rows with a value it lacks go.
+
+    The ``frequent`` first values of a column are broadcast, so that no task gets all rows of a
+    common one. A column with more values looks up the others in a shuffle join, in which the rows
+    that have their index are spread by the partition they come from. The sizes that tell
+    are one row per column."""
+    sizes = dict(table.groupBy("field").count().collect())
     for c in columns:
-        own = table.where(F.col("field") == c).select(F.col("value").alias("_value"), F.col("idx").alias(f"{c}_index"))
-        rows = rows.join(own, rows[c].cast("string") == own["_value"]).drop("_value")
+        index, value = f"{c}_index", F.col(c).cast("string")
+        own = table.where(F.col("field") == c).select(F.col("value").alias("_value"), F.col("idx").alias(index))
+        if sizes.get(c, 0) <= frequent:
+            rows = rows.join(F.broadcast(own), value == F.col("_value")).drop("_value")
+            continue
+        first, rest = own.where(F.col(index) < frequent), own.where(F.col(index) >= frequent)
+        known = rows.where(F.col(c).isNotNull()).join(F.broadcast(first), value == F.col("_value"), "left").drop("_value")
+        ask = F.when(F.col(index).isNull(), F.concat(F.lit("="), value))
+        asked = known.withColumn("_ask", F.coalesce(ask, F.concat(F.lit("#"), F.spark_partition_id())))
+        rare = rest.select(F.concat(F.lit("="), "_value").alias("_ask"), F.col(index).alias("_rare"))
+        found = asked.join(rare, "_ask", "left").withColumn(index, F.coalesce(index, "_rare"))
+        rows = found.where(F.col(index).isNotNull()).drop("_ask", "_rare")
     return rows
 
 

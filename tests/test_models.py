@@ -140,3 +140,26 @@ def test_an_index_of_many_labels_collects_nothing(spark):
     out = models.indexed_by(rows, table, ["a", "b"])
     assert out.count() == rows.where("b is not null").count()
     assert out.where("b = 'hot'").select("b_index").distinct().collect()[0][0] == 0.0
+
+
+@pytest.mark.parametrize("frequent", [models.FREQUENT, 3, 1], ids=["all", "few", "one"])
+def test_rows_of_a_common_label_do_not_meet_in_one_task(spark, frequent):
+    kinds = F.when(F.col("id") % 2 == 0, "hot").when(F.col("id") % 10 == 1, None).otherwise(F.concat(F.lit("v"), F.col("id") % 100))
+    rows = spark.range(0, 8000, 1, 8).select("id", kinds.alias("a"), (F.col("id") % 2).alias("b"))
+    table = models.index_table(rows.where("id >= 4000"), ["a", "b"]).where("value <> 'v3'")
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        options = {} if frequent == models.FREQUENT else {"frequent": frequent}
+        got = models.indexed_by(rows, table, ["a", "b"], **options).withColumn("_part", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    index = {(r["field"], r["value"]): r["idx"] for r in table.collect()}
+    expected = [(r["id"], r["a"], r["b"], index["a", r["a"]], index["b", str(r["b"])]) for r in rows.collect() if ("a", r["a"]) in index]
+    assert index["a", "hot"] == 0.0 and len(expected) == 7120
+    assert sorted(tuple(r)[:5] for r in got) == sorted(expected)
+    parts = [r["_part"] for r in got]
+    assert max(map(parts.count, set(parts))) < len(got) / 2

@@ -187,6 +187,8 @@ def stream_fan_out(spark, folder):
 
 #: Micro-batches of the registered runs in stretches.
 BATCHES = 4
+#: Bytes of a row group of stretches of texts: a stretch comes from few tasks and is read by all.
+PART_BYTES = 4 << 20
 
 
 def _cuts(rows, key):
@@ -279,7 +281,7 @@ def stream_letter_changes(spark, folder):
     base = scratch(spark, "changes")
     schema = StructType().add("doc_id", "long").add("pos", "integer").add("letter", "string").add("n", "long")
     for rows in _stretches(documents, "doc_id"):
-        rows.write.mode("append").parquet(f"{base}/in")
+        rows.write.mode("append").option("parquet.block.size", PART_BYTES).parquet(f"{base}/in")
         stream = b.spread(spark.readStream.schema(documents.schema).parquet(f"{base}/in"))
         letters = words.letter_events(stream, "doc_id", "text")
         runs.finish(

@@ -1,16 +1,19 @@
 """One update per input: the running count of a key after each of its rows.
 
-The count after a row is the number of rows of its key up to it in its block of positions,
-plus those in earlier blocks of the batch, plus those of earlier batches. A window holds one
-key of one block at most, so a very common key is split; earlier blocks are a sum over one
-row per key and block, earlier batches one row per key.
+The rows of a batch are cut into blocks, stretches of their order between bounds that are taken
+from a sample. The count after a row is the number of rows of its key up to it in its block, plus
+those in earlier blocks of the batch, plus those of earlier batches. A window holds one key of
+one block, so a very common key is split; what came before a block is one row per key and block,
+which enters the window ahead of its rows. The rows are shuffled and sorted once.
 
 Rows count in the order of the batches and, inside a batch, in the order of the given
-columns. A null key is a key. An empty batch changes nothing.
+columns. A null key is a key. An empty batch changes nothing. A batch is read three times and must
+be the same each time, as from any source that can replay.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -18,12 +21,34 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructField, StructType
 
-from gristmill.operators.order import with_position
+from gristmill.session import shared_dir
 from gristmill.streaming import slots
 from gristmill.streaming.runs import batch_path, start
 
-#: Positions that are counted together.
+#: About how many rows make a block.
 BLOCK_ROWS = 1_000_000
+#: Rows drawn to find the bounds of blocks, and how many of them each block has at least.
+DRAWN, DRAWN_A_BLOCK = 8192, 8
+
+
+def with_block(rows: DataFrame, order: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_block`` from 0: rows of a later block come later in the order of ``order``. Equal rows
+    share a block. The bounds are fixed numbers of the plan, so every use sees the same blocks."""
+    draws = rows.select(*order, F.rand(42).alias("_draw")).orderBy("_draw").limit(DRAWN)
+    drawn = draws.orderBy(*order).collect()
+    # Draws are even between 0 and 1: the last of the smallest tells how many there are in all.
+    total = len(drawn) if len(drawn) < DRAWN else DRAWN / max(r["_draw"] for r in drawn)
+    blocks = min(math.ceil(total / block_rows), max(1, len(drawn) // DRAWN_A_BLOCK if total > len(drawn) else len(drawn)))
+    if blocks < 2:
+        return rows.withColumn("_block", F.lit(0))
+    bounds = rows.sparkSession.createDataFrame([drawn[len(drawn) * i // blocks] for i in range(1, blocks)], draws.schema)
+    listed = bounds.agg(F.sort_array(F.collect_list(F.struct(*order)))).scalar()
+    found = rows.withColumn("_bounds", listed).withColumn("_place", F.struct(*order)).withColumn("_block", F.lit(0))
+    # Binary search: how many bounds are not above the row; there is no bound past the last.
+    for step in (1 << k for k in reversed(range((blocks - 1).bit_length()))):
+        below = F.get("_bounds", F.col("_block") + (step - 1)) <= F.col("_place")
+        found = found.withColumn("_block", F.col("_block") + F.when(below, step).otherwise(0))
+    return found.drop("_bounds", "_place")
 
 
 def running_counts(
@@ -31,30 +56,20 @@ def running_counts(
 ) -> tuple[DataFrame, DataFrame]:
     """``rows`` with the running count of their key, and the counts to carry on (``keys``, ``_total``)."""
     keys = list(keys)
-    placed = with_position(rows, order, "_pos").withColumn("_block", F.expr(f"(_pos - 1) div {block_rows}"))
-    inside = Window.partitionBy(*keys, "_block").orderBy("_pos")
+    shared_dir(rows.sparkSession)
+    blocked = with_block(rows, order, block_rows)
+    counts = blocked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
+    known = carried.select(*keys, F.lit(-1).alias("_block"), F.col("_total").alias("_rows"))
+    both = counts.unionByName(known)
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = placed.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    before = counts.withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-
-    def same(other: DataFrame, *more: str):
-        match = F.lit(True)
-        for k in keys:
-            match = match & F.col(k).eqNullSafe(other[f"_k_{k}"])
-        for m in more:
-            match = match & (F.col(m) == other[f"_k{m}"])
-        return match
-
-    def renamed(df: DataFrame, *more: str) -> DataFrame:
-        return df.withColumnsRenamed({**{k: f"_k_{k}" for k in keys}, **{m: f"_k{m}" for m in more}})
-
-    blocks, known = renamed(before.drop("_rows"), "_block"), renamed(carried)
-    numbered = placed.withColumn("_in", F.row_number().over(inside))
-    joined = numbered.join(blocks, same(blocks, "_block")).join(known, same(known), "left")
-    total = F.col("_in") + F.col("_offset") + F.coalesce("_total", F.lit(0))
-    out = joined.select(*rows.columns, total.cast("long").alias(name))
-    sums = counts.groupBy(*keys).agg(F.sum("_rows").alias("_total")).unionByName(carried)
-    return out, sums.groupBy(*keys).agg(F.sum("_total").alias("_total"))
+    before = both.withColumn("_step", F.sum("_rows").over(earlier)).where("_block >= 0 and _step is not null")
+    heads = before.drop("_rows").withColumn("_row", F.lit(0))
+    steps = blocked.withColumns({"_step": F.lit(1).cast("long"), "_row": F.lit(1)})
+    inside = Window.partitionBy(*keys, "_block").orderBy("_row", *order)
+    so_far = F.sum("_step").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = steps.unionByName(heads, allowMissingColumns=True).withColumn("_so_far", so_far).where("_row = 1")
+    out = counted.select(*rows.columns, F.col("_so_far").alias(name))
+    return out, both.groupBy(*keys).agg(F.sum("_rows").alias("_total"))
 
 
 def by_batches(

@@ -57,6 +57,33 @@ def test_running_counts_split_a_hot_key(spark):
     assert dict(map(tuple, total.collect())) == seen
 
 
+def test_running_counts_over_blocks_of_a_sample_need_no_join(spark):
+    draw = random.Random(3)
+    data = [(draw.choice(["hot"] * 9 + ["x", None]), draw.choice([None, *range(3000)]), draw.choice("ab") * draw.randint(0, 2)) for _ in range(20_000)]
+    rows = spark.createDataFrame(data, "k string, seq long, sub string").repartition(7)
+    carried = spark.createDataFrame([("hot", 1000), (None, 5)], "k string, _total long")
+    changes, total = changelog.running_counts(rows, ["k"], ["seq", "sub"], carried, block_rows=500)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "rangepartitioning" not in plan
+    seen = {"hot": 1000, None: 5}
+    expected = []
+    for k, seq, sub in sorted(data, key=lambda r: (r[1] is not None, r[1] or 0, r[2], str(r[0]))):
+        seen[k] = seen.get(k, 0) + 1
+        expected.append((str(k), seq or -1, sub, seen[k]))
+    assert sorted((str(k), -1 if seq is None else seq or -1, sub, n) for k, seq, sub, n in changes.collect()) == sorted(expected)
+    assert dict(map(tuple, total.collect())) == seen
+    sizes = {r["_block"]: r["count"] for r in changelog.with_block(rows, ["seq", "sub"], 500).groupBy("_block").count().collect()}
+    assert 30 < len(sizes) <= 45 and max(sizes.values()) < 1500
+
+
+def test_blocks_follow_the_order_and_hold_equal_rows(spark):
+    rows = spark.createDataFrame([(i % 50 or None,) for i in range(1000)], "seq long")
+    placed = changelog.with_block(rows, ["seq"], 10).distinct().collect()
+    blocks = [r["_block"] for r in sorted(placed, key=lambda r: r["seq"] or 0)]
+    assert len(blocks) == 50 and blocks == sorted(blocks)
+    assert changelog.with_block(rows.limit(0), ["seq"], 10).collect() == []
+
+
 def test_a_change_log_over_batches_restarts_and_a_replay(spark, tmp_path):
     draw = random.Random(2)
     data = [(draw.choice("aaab-"), i) for i in range(40)]

@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from gristmill.operators import order, words
 from gristmill.operators.messages import parse_articles
+from gristmill.plans import streams
 from gristmill.sources.readers import table_stream, text_stream
 from gristmill.streaming import detector, fanout, runs, windows
 from gristmill.streaming.articles import start_articles
@@ -285,3 +287,16 @@ def test_article_job(spark, tmp_path, event_time):
         counts = spark.read.schema("s string, e string, total long, war long, batch_id long").csv(f"{out}/counts")
         # Windows ending by 00:03, the last time seen.
         assert sorted((r["total"], r["war"]) for r in counts.collect()) == [(1, 1), (2, 1), (2, 1)]
+
+
+def test_a_stretch_of_documents_can_be_read_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "PART_BYTES", 16 << 10)
+    monkeypatch.setattr(streams, "scratch", lambda spark, label: str(tmp_path / label))
+    text = F.concat(F.sha2(F.col("id").cast("string"), 512), F.lit(" word "))
+    docs = spark.range(0, 4000, 1, 1).select(F.col("id").alias("doc_id"), text.alias("text"))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    got = streams.stream_letter_changes(spark, str(tmp_path)).where("letter = 'w'")
+    assert got.agg(F.count("*"), F.min("n"), F.max("n")).first()[:] == (4000, 1, 4000)
+    files = [p for p in (tmp_path / "changes" / "in").iterdir() if p.name.startswith("part-")]
+    assert len(files) == streams.BATCHES
+    assert min(pq.ParquetFile(p).metadata.num_row_groups for p in files) > 3
